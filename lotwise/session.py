@@ -31,3 +31,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Distribute a table that comes in fewer partitions than there are cores.
+
+    For small inputs in one or a few files, ahead of costly work per row. A table with
+    enough partitions, as any large one, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

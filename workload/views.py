@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -61,7 +63,7 @@ D_SQL = f"D AS (SELECT {_D_COLUMNS} FROM documents)"
 
 
 def text_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     return docs.select(
         "doc_id",
         F.col("lang").alias("city"),
