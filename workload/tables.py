@@ -32,7 +32,19 @@ def csv_source(spark, sf):
     """Listings with free text, written as CSV and read back by name, then typed."""
     path = shared_path(spark, "csv")
     write_table(text_listings(spark, sf), path, "csv")
-    raw = read_listings_csv(spark, path, ["doc_id", "city", "year", "price", "daysonmarket", "description"])
+    wanted = ["doc_id", "city", "year", "price", "daysonmarket", "description"]
+    return typed_text_listings(read_listings_csv(spark, path, wanted))
+
+
+def csv_source_in_splits(spark, sf):
+    """The same with files taken as too large for one task."""
+    path = shared_path(spark, "csv")
+    write_table(text_listings(spark, sf), path, "csv")
+    good, _ = split_bad_rows(read_flagged_csv(spark, path, whole_file_bytes=0))
+    return typed_text_listings(good)
+
+
+def typed_text_listings(raw):
     return raw.select(
         F.col("doc_id").try_cast("bigint").alias("doc_id"),
         "city",
@@ -185,6 +197,7 @@ def report_log(spark, sf):
 
 QUERIES = {
     "csv_source": csv_source,
+    "csv_source_in_splits": csv_source_in_splits,
     "csv_bad_rows": csv_bad_rows,
     "require_columns": require_columns,
     "project_job_columns": project_job_columns,
@@ -203,8 +216,11 @@ QUERIES = {
 
 BUCKET = "CAST('0x' || substr(md5(concat(l_orderkey, '|', l_linenumber)), 1, 8) AS BIGINT) % 1000"
 
+D_TYPED = f"WITH {D_SQL} SELECT doc_id, city, year, price, daysonmarket, description FROM D"
+
 ORACLES = {
-    "csv_source": f"WITH {D_SQL} SELECT doc_id, city, year, price, daysonmarket, description FROM D",
+    "csv_source": D_TYPED,
+    "csv_source_in_splits": D_TYPED,
     "csv_bad_rows": """SELECT CASE WHEN l_orderkey % 10 IN (0, 1) THEN 'bad' ELSE 'good' END AS outcome,
         CAST(l_linenumber AS VARCHAR) AS linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2""",
     "require_columns": "SELECT p_partkey, p_size FROM part",
