@@ -1,10 +1,11 @@
 """Exact quantiles whose work spreads over the cluster.
 
 The built-in exact percentile keeps every distinct value of a column in one
-task. Here a first pass counts values per bin, bins being slices of a monotone
+task. Here values are first counted per bin, bins being slices of a monotone
 log scale; their number is bounded whatever the data. The bins that hold the
-wanted ranks are then known, and a second pass counts distinct values in these
-bins only.
+wanted ranks are then known, and only their values are counted one by one.
+These counts are cut down once more, by slices of a bin, before they are
+sorted, so that a column crowded into one bin is still no task's burden.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 # Bins per unit of ln(1 + |v|). Doubles reach 710 on that scale, so a column
 # has fewer than 6 million bins, and about 80 thousand for values up to 10**9.
 BINS_PER_UNIT = 4096
+SLICES_PER_BIN = 65536
 
 
-def _bin(value: Column) -> Column:
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * BINS_PER_UNIT)
+def _scale(value: Column) -> Column:
+    return F.signum(value) * F.log1p(F.abs(value)) * BINS_PER_UNIT
 
 
 def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -30,47 +32,59 @@ def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def _count_before(n: str, group: Sequence[str], order: str) -> Column:
+    """Rows of the group ahead of this one, each standing for ``n`` values."""
+    upto = Window.partitionBy(*group).orderBy(order)
+    rows = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.sum(n).over(rows) - F.col(n)
+
+
+def _holds_rank() -> Column:
+    """Whether the values before+0 .. before+n-1 include a neighbour of the rank."""
+    return (F.col("before") <= F.ceil("rank")) & (F.col("before") + F.col("n") > F.floor("rank"))
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Rows (column, prob, value): exact quantiles, interpolated between neighbours.
 
     A column without any number has no rows.
     """
-    values = _numbers(df, cols).withColumn("bin", _bin(F.col("value")))
+    values = _numbers(df, cols).withColumn("bin", F.floor(_scale(F.col("value"))))
     bins = values.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
-
-    per_column = Window.partitionBy("column")
-    upto = per_column.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = bins.select(
         "column",
         "bin",
         "n",
-        (F.sum("n").over(upto) - F.col("n")).alias("before"),
-        F.sum("n").over(per_column).alias("total"),
+        _count_before("n", ["column"], "bin").alias("before"),
+        F.sum("n").over(Window.partitionBy("column")).alias("total"),
+    )
+    each_prob = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+    wanted = placed.select("*", each_prob.alias("prob")).withColumn(
+        "rank", F.col("prob") * (F.col("total") - 1)
     )
-    wanted = placed.select(
-        "*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    ).withColumn("rank", F.col("prob") * (F.col("total") - 1))
-    # At most two bins per column and probability, hence always small.
-    targets = wanted.where(
-        (F.col("before") <= F.ceil("rank"))
-        & (F.col("before") + F.col("n") > F.floor("rank"))
-    ).select("column", "bin", "prob", "rank", "before")
+    # At most two bins per column and probability, hence always small enough to broadcast.
+    targets = wanted.where(_holds_rank()).select("column", "bin", "prob", "rank", "before")
 
+    key = ["column", "prob", "rank", "bin", "before"]
     counted = (
         values.join(F.broadcast(targets), ["column", "bin"])
-        .groupBy("column", "prob", "rank", "bin", "before", "value")
+        .groupBy(*key, "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("slice", F.floor((_scale(F.col("value")) - F.col("bin")) * SLICES_PER_BIN))
     )
-    within = (
-        Window.partitionBy("column", "prob", "bin")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slices = counted.groupBy(*key, "slice").agg(F.sum("n").alias("n"))
+    ahead = F.col("before") + _count_before("n", ["column", "prob", "bin"], "slice")
+    few = slices.withColumn("before", ahead).where(_holds_rank())
+    # Again at most two slices per column and probability.
+    near = counted.drop("before", "rank").join(
+        F.broadcast(few.drop("n")), ["column", "prob", "bin", "slice"]
     )
-    end = F.col("before") + F.sum("n").over(within)
-    ranked = counted.withColumn("end", end).withColumn("start", F.col("end") - F.col("n"))
+    first = F.col("before") + _count_before("n", ["column", "prob", "bin", "slice"], "value")
+    ranked = near.withColumn("before", first)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("value")))
+        here = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+        return F.max(F.when(here, F.col("value")))
 
     picked = ranked.groupBy("column", "prob", "rank").agg(
         at(F.floor("rank")).alias("low"), at(F.ceil("rank")).alias("high")

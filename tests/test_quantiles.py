@@ -31,6 +31,12 @@ def test_gap_between_the_two_middle_values(spark):
     check(spark, [-1e9, -1.0, 1.0, 1e9])
 
 
+def test_crowded_values(spark):
+    """All values within one bin, and then within one slice."""
+    check(spark, 1e6 + np.random.default_rng(1).random(2000))
+    check(spark, 1e6 + np.arange(500) * 2**-30)
+
+
 def test_gaps_are_left_out(spark):
     df = spark.createDataFrame(
         [(1.0, None, 1), (float("nan"), None, 2), (None, None, 4), (3.0, None, None)],
