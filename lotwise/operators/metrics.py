@@ -126,10 +126,22 @@ def scaling_verdict(
 
 
 def pivot_mean(
-    df: DataFrame, rows: Sequence[str], col: str, value: str, categories: Sequence, prefix: str = "",
+    df: DataFrame,
+    rows: Sequence[str],
+    col: str,
+    values: str | Sequence[str],
+    categories: Sequence,
+    prefix: str = "",
     zero: bool = False,
 ) -> DataFrame:
-    """Mean of ``value`` per row group, one column per category; absent cells null or 0."""
-    wide = df.groupBy(*rows).pivot(col, list(categories)).agg(F.avg(value))
-    named = wide.withColumnsRenamed({str(c): f"{prefix}{c}" for c in categories})
-    return named.fillna(0, subset=[f"{prefix}{c}" for c in categories]) if zero else named
+    """Mean per row group, one column per category; absent cells null, or 0 with ``zero``.
+
+    Several ``values`` give one column ``<category>_<value>`` each. The categories are
+    named by the caller, so no extra pass looks for them.
+    """
+    values = [values] if isinstance(values, str) else list(values)
+    means = [F.avg(v).alias(v) for v in values]
+    wide = df.groupBy(*rows).pivot(col, list(categories)).agg(*means)
+    cells = [str(c) if len(values) == 1 else f"{c}_{v}" for c in categories for v in values]
+    named = wide.withColumnsRenamed({cell: f"{prefix}{cell}" for cell in cells})
+    return named.fillna(0, subset=[f"{prefix}{cell}" for cell in cells]) if zero else named

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lotwise.functions.scalars import BAND_LABELS, price_band
 from lotwise.operators import metrics
-from workload.views import M_SQL, metric_table, table
+from workload.jobs import BAND
+from workload.views import D_SQL, M_SQL, metric_table, table, text_listings
 
 JOB_KEYS = ["job", "technology", "nodes"]
 SIZE_KEYS = ["job", "technology", "size_pct"]
@@ -17,7 +19,7 @@ def rounded(df, *names):
 
 
 def union_sources(spark, sf):
-    customers = table(spark, sf, "customer").where("c_nationkey < 20").withColumnsRenamed(
+    customers = table(spark, sf, "customer").withColumnsRenamed(
         {"c_custkey": "id", "c_acctbal": "balance"}
     )
     suppliers = table(spark, sf, "supplier").withColumnsRenamed({"s_suppkey": "id", "s_acctbal": "balance"})
@@ -75,16 +77,22 @@ def scaling_verdict(spark, sf):
 
 
 def metric_pivot(spark, sf):
-    m = metric_table(spark, sf).where("size_pct = 7")
-    return metrics.pivot_mean(m, ["job", "technology"], "nodes", "time_sec", [3, 5, 7], prefix="nodes_")
+    rows = ["job", "technology", "size_pct"]
+    return metrics.pivot_mean(metric_table(spark, sf), rows, "nodes", "time_sec", [3, 5, 7], prefix="nodes_")
+
+
+def metric_pivot_many(spark, sf):
+    m = metrics.throughput(metric_table(spark, sf), "records", "size_pct", "time_sec")
+    values = ["time_sec", "records_per_sec"]
+    wide = metrics.pivot_mean(m, ["job", "size_pct"], "technology", values, ["F", "O"])
+    return rounded(wide, *[f"{t}_{v}" for t in "FO" for v in values])
 
 
 def metric_grid_zero(spark, sf):
-    m = metric_table(spark, sf).where("NOT (technology = 'F' AND size_pct % 2 = 0)")
-    wide = metrics.pivot_mean(
-        m, ["technology"], "size_pct", "time_sec", list(range(1, 8)), prefix="size_", zero=True
-    )
-    return rounded(wide, *[f"size_{i}" for i in range(1, 8)])
+    """Not every source has texts of every band: these cells are 0."""
+    d = text_listings(spark, sf).withColumn("band", price_band(F.col("price")))
+    wide = metrics.pivot_mean(d, ["city", "year"], "band", "price", BAND_LABELS, prefix="mean_", zero=True)
+    return rounded(wide, *[f"mean_{b}" for b in BAND_LABELS])
 
 
 QUERIES = {
@@ -98,6 +106,7 @@ QUERIES = {
     "growth_factors": growth_factors,
     "scaling_verdict": scaling_verdict,
     "metric_pivot": metric_pivot,
+    "metric_pivot_many": metric_pivot_many,
     "metric_grid_zero": metric_grid_zero,
 }
 
@@ -106,7 +115,7 @@ FIRST_WINDOW = "WINDOW w AS (PARTITION BY job, technology, nodes ORDER BY size_p
 
 ORACLES = {
     "union_sources": """SELECT c_custkey AS id, c_acctbal AS balance, c_mktsegment, NULL AS s_name,
-        'customer' AS engine FROM customer WHERE c_nationkey < 20
+        'customer' AS engine FROM customer
         UNION ALL SELECT s_suppkey, s_acctbal, NULL, s_name, 'supplier' FROM supplier""",
     "coalesce_schemas": f"""WITH {M_SQL} SELECT job, technology, nodes, size_pct,
         CASE nodes WHEN 3 THEN CAST(size_pct AS DOUBLE) WHEN 5 THEN CAST(size_pct AS DOUBLE) / 2 END * 100
@@ -135,14 +144,17 @@ ORACLES = {
           FROM M GROUP BY 1, 2, 3)
         SELECT job, technology, nodes, round(sr, 6) AS size_ratio, round(tr, 6) AS time_ratio,
         CASE WHEN tr < sr THEN 'SUB-linear' WHEN tr > sr THEN 'SUPER-linear' ELSE 'linear' END AS verdict FROM E""",
-    "metric_pivot": f"""WITH {M_SQL} SELECT job, technology, avg(time_sec) FILTER (nodes = 3) AS nodes_3,
+    "metric_pivot": f"""WITH {M_SQL} SELECT job, technology, size_pct, avg(time_sec) FILTER (nodes = 3) AS nodes_3,
         avg(time_sec) FILTER (nodes = 5) AS nodes_5, avg(time_sec) FILTER (nodes = 7) AS nodes_7
-        FROM M WHERE size_pct = 7 GROUP BY 1, 2""",
-    "metric_grid_zero": f"WITH {M_SQL} SELECT technology, "
+        FROM M GROUP BY 1, 2, 3""",
+    "metric_pivot_many": f"WITH {M_SQL} SELECT job, size_pct, "
     + ", ".join(
-        f"round(coalesce(avg(time_sec) FILTER (size_pct = {i} AND NOT (technology = 'F' AND size_pct % 2 = 0)), 0), 6)"
-        f" AS size_{i}"
-        for i in range(1, 8)
+        f"round(avg({e}) FILTER (technology = '{t}'), 6) AS {t}_{v}"
+        for t in "FO"
+        for v, e in (("time_sec", "time_sec"), ("records_per_sec", "records / time_sec"))
     )
-    + " FROM M GROUP BY 1",
+    + " FROM M GROUP BY 1, 2",
+    "metric_grid_zero": f"WITH {D_SQL}, B AS (SELECT *, {BAND} AS band FROM D) SELECT city, year, "
+    + ", ".join(f"round(coalesce(avg(price) FILTER (band = '{b}'), 0), 6) AS mean_{b}" for b in BAND_LABELS)
+    + " FROM B GROUP BY 1, 2",
 }
