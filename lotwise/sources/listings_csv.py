@@ -12,8 +12,9 @@ from lotwise.schema import project, require_columns, text_schema
 
 BAD_ROW = "_bad_row"
 
-# A file up to this size is read by one task; larger ones are read in splits.
-WHOLE_FILE_BYTES = 1 << 30
+# A file up to this size is read by one task, in minutes; larger ones are read in
+# splits, which costs two shuffles of the text but uses the whole cluster.
+WHOLE_FILE_BYTES = 4 << 30
 
 _FORMAT = {
     "quote": '"',
