@@ -28,7 +28,7 @@ def map_labels(col: Column, labels: Mapping[str, str]) -> Column:
     return F.try_element_at(F.create_map(*pairs), col)
 
 
-def normalize_names(col: Column, remove: Sequence[str] = ("_sparksql", "_spark", "sql")) -> Column:
+def normalize_names(col: Column, remove: Sequence[str] = ("_spark", "_sparksql", "sql")) -> Column:
     """Delete each of the substrings in turn."""
     return reduce(lambda c, part: F.replace(c, F.lit(part), F.lit("")), remove, col)
 

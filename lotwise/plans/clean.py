@@ -32,6 +32,7 @@ from lotwise.operators.cleaning import (
     unify_columns,
 )
 from lotwise.operators.profiling import is_missing, numeric_columns, text_columns
+from lotwise.schema import CLEANED_COLUMNS
 from lotwise.session import materialize
 
 # Raw columns by the way they are typed.
@@ -126,6 +127,12 @@ def columns_with_gaps(df: DataFrame, names: list[str]) -> list[str]:
     return list(df.agg(F.array_compact(F.array(*found)).alias("names")).first()["names"])
 
 
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Columns of the cleaned table in its order, then any others."""
+    known = [c for c in CLEANED_COLUMNS if c in df.columns]
+    return df.select(*known, *[c for c in df.columns if c not in set(known)])
+
+
 def clean_listings(raw: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:
     """Drop sparse columns, type, de-duplicate, repair, then flag and fill the gaps.
 
@@ -135,7 +142,7 @@ def clean_listings(raw: DataFrame, config: CleanConfig = CleanConfig()) -> DataF
     kept = drop_sparse(raw, config.sparse_threshold)
     typed = consistent_listings(typed_listings(kept, config), config)
     if not config.impute:
-        return typed
+        return in_file_order(typed)
     table = materialize(typed, "listings")
     numbers = [c for c in numeric_columns(table) if c not in config.never_median]
     texts = [c for c in text_columns(table) if c not in config.never_mode]
@@ -145,4 +152,4 @@ def clean_listings(raw: DataFrame, config: CleanConfig = CleanConfig()) -> DataF
     modes = [c for c in texts if c in gaps and c not in colors]
     flagged = flag_missing(flag_missing(table, numbers), [c for c in texts if c in gaps], blank=True)
     filled = impute_mode(impute_median(flagged, numbers, exclude=()), modes)
-    return fill_like(filled, config.color_pattern)
+    return in_file_order(fill_like(filled, config.color_pattern))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lotwise.operators import cleaning as C
 from lotwise.operators import profiling as P
 from lotwise.plans.clean import CleanConfig, clean_listings
-from lotwise.schema import text_schema
+from lotwise.schema import CLEANED_COLUMNS, text_schema
 
 RAW = [
     dict(vin="A", listing_id="1", make_name=" Fiat ", price="10", year="2000", listed_date="2020-01-01",
@@ -53,6 +53,13 @@ def test_clean_listings(raw):
     assert (a.num_major_options, b.major_options_list, c.major_options_list) == (0, [], [])
 
 
+def test_columns_come_in_file_order(raw):
+    names = clean_listings(raw).columns
+    places = [CLEANED_COLUMNS.index(c) for c in names if c in CLEANED_COLUMNS]
+    assert places == sorted(places) and len(places) > 20
+    assert set(raw.columns) - {"sparse"} <= set(names)
+
+
 def test_clean_without_imputation(raw):
     rows = {r.vin: r for r in clean_listings(raw, CleanConfig(impute=False)).collect()}
     assert rows["A"].height is None and rows["A"].fuel_type is None
