@@ -12,9 +12,9 @@ from lotwise.schema import project, require_columns, text_schema
 
 BAD_ROW = "_bad_row"
 
-# A file up to this size is read by one task, in minutes; larger ones are read in
-# splits, which costs two shuffles of the text but uses the whole cluster.
-WHOLE_FILE_BYTES = 4 << 30
+# A file up to this size is read by one task; larger ones are read in splits, which
+# shuffles the text but uses the whole cluster.
+WHOLE_FILE_BYTES = 1 << 30
 
 _FORMAT = {
     "quote": '"',
@@ -80,10 +80,14 @@ def read_flagged_csv(
 
 
 def from_record(records: DataFrame, schema) -> DataFrame:
-    """Parse whole CSV records held in the column ``record``."""
+    """Parse whole CSV records held in the column ``record``.
+
+    Through ``inline``, as filters on the fields would otherwise be pushed below the
+    projection and parse the record again for each field they name.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW, **_FORMAT}
     ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
-    return records.select(F.from_csv("record", ddl, options).alias("fields")).select("fields.*")
+    return records.select(F.inline(F.array(F.from_csv("record", ddl, options))))
 
 
 def stitched_records(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -39,6 +39,11 @@ def test_bad_rows_are_found_when_columns_are_pruned(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text(TRICKY)
     assert [r.id for r in read_listings_csv(spark, str(path), ["id"]).orderBy("id").collect()] == ["1", "2", "5"]
+    good, bad = split_bad_rows(read_flagged_csv(spark, str(path), whole_file_bytes=0))
+    assert [r.id for r in good.select("id").orderBy("id").collect()] == ["1", "2", "5"]
+    assert bad.select("id").count() == 2
+    parsed = good.where("id > '1' AND text IS NOT NULL")._jdf.queryExecution().executedPlan().toString()
+    assert parsed.count("from_csv(") == 1
 
 
 @pytest.mark.parametrize("split", [40, 500])

@@ -14,7 +14,7 @@ from lotwise.plans.reports import price_report
 from lotwise.schema import project
 from lotwise.session import shared_path
 from lotwise.sources.inventory import input_inventory
-from lotwise.sources.listings_csv import BAD_ROW, read_flagged_csv, read_listings_csv, split_bad_rows
+from lotwise.sources.listings_csv import read_flagged_csv, read_listings_csv, split_bad_rows
 from lotwise.sources.records import parse_report_log, read_json_records
 from lotwise.sources.sinks import write_report, write_table
 from workload.jobs import BAND, LISTING_OK, MARKET_OK, ORACLES as JOB_ORACLES
