@@ -133,7 +133,9 @@ def in_file_order(df: DataFrame) -> DataFrame:
     return df.select(*known, *[c for c in df.columns if c not in set(known)])
 
 
-def clean_listings(raw: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:
+def clean_listings(
+    raw: DataFrame, config: CleanConfig = CleanConfig(), folder: str | None = None
+) -> DataFrame:
     """Drop sparse columns, type, de-duplicate, repair, then flag and fill the gaps.
 
     The table before imputation is written to the shared folder once: the statistics
@@ -143,7 +145,7 @@ def clean_listings(raw: DataFrame, config: CleanConfig = CleanConfig()) -> DataF
     typed = consistent_listings(typed_listings(kept, config), config)
     if not config.impute:
         return in_file_order(typed)
-    table = materialize(typed, "listings")
+    table = materialize(typed, "listings", folder)
     numbers = [c for c in numeric_columns(table) if c not in config.never_median]
     texts = [c for c in text_columns(table) if c not in config.never_mode]
     gaps = columns_with_gaps(table, numbers + texts)

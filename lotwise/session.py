@@ -2,42 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the checkpoint folder the cluster names.
+def shared_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A fresh path below ``folder``, or below the checkpoint folder the cluster names.
 
-    Only a local session without that setting, as in tests, gets a temporary
-    folder: on a cluster such a folder would exist on one machine only.
+    There is no fallback: a folder of one machine would be invisible to the others.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = folder or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="lotwise-")
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors, or pass a folder")
     return f"{root.rstrip('/')}/lotwise/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage like a reliable checkpoint, but keeps the data columnar, so
     that later passes read only the columns they need.
     """
-    path = shared_path(df.sparkSession, name)
+    path = shared_path(df.sparkSession, name, folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Distribute a table that comes in fewer partitions than there are cores.
-
-    For small inputs in one or a few files, ahead of costly work per row. A table with
-    enough partitions, as any large one, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

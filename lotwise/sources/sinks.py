@@ -6,27 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from lotwise.session import materialize
-
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_report(
     df: DataFrame, path: str, order_by: Sequence[str], line: str = "line", single_file: bool = False
 ) -> None:
     """Write report lines in order, replacing what is there.
 
-    Part files are in order of their names. A small report ends up in one file as AQE
-    merges its partitions. ``single_file`` makes sure of it for reports of up to
-    a million lines; larger ones stay in parts, since one task would write them all.
+    Part files are in order of their names. With ``single_file`` one task sorts and
+    writes everything, so that is for reports of a size that one task can handle.
     """
     if single_file:
-        df = materialize(df.select(line, *[c for c in order_by if c != line]), "report")
-        if df.count() <= SINGLE_FILE_ROWS:
-            ordered = df.coalesce(1).sortWithinPartitions(*order_by)
-            ordered.select(line).write.mode("overwrite").text(path)
-            return
-    df.orderBy(*order_by).select(line).write.mode("overwrite").text(path)
+        ordered = df.repartition(1).sortWithinPartitions(*order_by)
+    else:
+        ordered = df.orderBy(*order_by)
+    ordered.select(line).write.mode("overwrite").text(path)
 
 
 def write_table(

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.compare import first_difference, spark_table, sql_table
+from workload import all_oracles, all_queries
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 def test_every_query_but_the_inventory_has_an_oracle():

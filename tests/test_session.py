@@ -1,4 +1,4 @@
-"""Shared folder and distribution of small inputs."""
+"""The shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from lotwise.session import materialize, shared_path, spread
+from lotwise.session import materialize, shared_path
+from workload.folders import work_folder
 
 
 def session(master, root):
@@ -21,9 +22,20 @@ def test_the_folder_of_the_session_is_used():
     assert all(path.startswith("/shared/lotwise/x-") for path in paths)
 
 
-def test_a_cluster_without_a_folder_is_refused():
+@pytest.mark.parametrize("master", ["yarn", "local[4]"])
+def test_a_session_without_a_folder_is_refused(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_path(session("yarn", None), "x")
+        shared_path(session(master, None), "x")
+
+
+def test_a_folder_given_wins():
+    assert shared_path(session("yarn", "/shared"), "x", "/mine/").startswith("/mine/lotwise/x-")
+
+
+def test_queries_need_no_setting_on_one_machine_only():
+    assert work_folder(session("local[4]", None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(session("local-cluster[2,1,1024]", None))
 
 
 def test_materialized_table_reads_single_columns(spark):
@@ -31,10 +43,3 @@ def test_materialized_table_reads_single_columns(spark):
     plan = table.select("twice")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<twice:bigint>" in plan
     assert table.count() == 100
-
-
-def test_spread_leaves_large_tables_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, 1, cores)
-    assert spread(many, "id") is many
-    assert spread(spark.range(0, 1000, 1, 1), "id").rdd.getNumPartitions() == cores

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lotwise.functions import scalars as S
 from lotwise.operators import cleaning as C
 from lotwise.plans import clean
+from workload.folders import work_folder
 from workload.views import X_SQL, dirty_listings, table
 
 
@@ -103,7 +104,7 @@ def unify_columns(spark, sf):
 
 def clean_listings(spark, sf):
     config = clean.CleanConfig(never_median=("vin", "price"), never_mode=("description",))
-    cleaned = clean.clean_listings(dirty_listings(spark, sf), config)
+    cleaned = clean.clean_listings(dirty_listings(spark, sf), config, work_folder(spark))
     options = F.array_join("major_options_list", "|").alias("major_options_list")
     return cleaned.select(*[options if c == "major_options_list" else c for c in cleaned.columns])
 

@@ -17,6 +17,7 @@ from lotwise.sources.inventory import input_inventory
 from lotwise.sources.listings_csv import read_flagged_csv, read_listings_csv, split_bad_rows
 from lotwise.sources.records import parse_report_log, read_json_records
 from lotwise.sources.sinks import write_report, write_table
+from workload.folders import work_folder
 from workload.jobs import BAND, LISTING_OK, MARKET_OK, ORACLES as JOB_ORACLES
 from workload.views import D_SQL, L_SQL, listings, table, text_listings
 
@@ -30,7 +31,7 @@ TABLES = (
 
 def csv_source(spark, sf):
     """Listings with free text, written as CSV and read back by name, then typed."""
-    path = shared_path(spark, "csv")
+    path = shared_path(spark, "csv", work_folder(spark))
     write_table(text_listings(spark, sf), path, "csv")
     wanted = ["doc_id", "city", "year", "price", "daysonmarket", "description"]
     return typed_text_listings(read_listings_csv(spark, path, wanted))
@@ -38,7 +39,7 @@ def csv_source(spark, sf):
 
 def csv_source_in_splits(spark, sf):
     """The same with files taken as too large for one task."""
-    path = shared_path(spark, "csv")
+    path = shared_path(spark, "csv", work_folder(spark))
     write_table(text_listings(spark, sf), path, "csv")
     good, _ = split_bad_rows(read_flagged_csv(spark, path, whole_file_bytes=0))
     return typed_text_listings(good)
@@ -57,7 +58,7 @@ def typed_text_listings(raw):
 
 def csv_bad_rows(spark, sf):
     """CSV lines of which some are cut short and some are too long, counted by outcome."""
-    path = shared_path(spark, "bad-csv")
+    path = shared_path(spark, "bad-csv", work_folder(spark))
     rows = table(spark, sf, "lineitem")
     fields = F.concat_ws(",", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     cut = F.concat_ws(",", "l_orderkey", "l_linenumber")
@@ -119,14 +120,14 @@ def nested_samples(spark, sf):
 
 def text_sink(spark, sf):
     """The price report written in order and read back with the place of each line."""
-    path = shared_path(spark, "report")
+    path = shared_path(spark, "report", work_folder(spark))
     report = price_report(listings(spark, sf, "make_name", "model_name", "price", "year"))
     write_report(report, path, ["make_name"])
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 def table_sink(spark, sf):
-    path = shared_path(spark, "table")
+    path = shared_path(spark, "table", work_folder(spark))
     write_table(listings(spark, sf, *KEY, "price", "year"), path, "parquet", partition_by=["year"])
     return spark.read.parquet(path).select(*KEY, "price", F.col("year").cast("int").alias("year"))
 
@@ -152,7 +153,7 @@ def inventory(spark, sf):
 
 def read_json(spark, sf):
     """Events written as files of one JSON array each, read back as records."""
-    path = shared_path(spark, "json")
+    path = shared_path(spark, "json", work_folder(spark))
     events = table(spark, sf, "events").select("event_id", "event_type", "value", "props")
     # A thousand events per array: the number of arrays grows, their size does not.
     arrays = events.groupBy(F.floor(F.col("event_id") / 1000).alias("chunk")).agg(
@@ -169,7 +170,7 @@ def read_json(spark, sf):
 
 def report_log(spark, sf):
     """Sectioned reports made of line items, one section per supplier, parsed back."""
-    path = shared_path(spark, "log")
+    path = shared_path(spark, "log", work_folder(spark))
     cells = (
         table(spark, sf, "lineitem")
         .groupBy("l_suppkey", "l_returnflag", "l_linenumber")
