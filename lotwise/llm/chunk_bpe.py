@@ -196,9 +196,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, folder: str | None = None)
         .groupBy("doc_id", "th")
         .agg(F.collect_list(F.struct("seq", "h1", "h2")).alias("duties"))
     )
-    whole = packed(docs)
+    # The filter holds for every row; both joins below have it, so that they share one shuffle.
+    whole = packed(docs).where("th IS NOT NULL")
     rows = with_key(whole).join(with_key(duties).drop("doc_id", "th"), ["key", "th_key"])
-    once = map_batches(rows.select("z", "duties"), functools.partial(_encode_duties, tokenizer), DUTY)
+    once = map_batches(rows.select("doc_id", "z", "duties"), functools.partial(_encode_duties, tokenizer), DUTY)
     # Not stored: in one plan both joins read the same shuffle of the texts.
     uses = (
         chunks.join(once.dropDuplicates(["h1", "h2"]), ["h1", "h2"])
