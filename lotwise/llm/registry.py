@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lotwise.llm import chunk_bpe, simhash_bk, wavelet
+from lotwise.llm import chat, chunk_bpe, merkle, simhash_bk, wavelet
 
-MODULES = (wavelet, simhash_bk, chunk_bpe)
+MODULES = (wavelet, simhash_bk, chat, chunk_bpe, merkle)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
