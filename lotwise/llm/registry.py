@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lotwise.llm import chat, chunk_bpe, merkle, quality, simhash_bk, wavelet
+from lotwise.llm import chat, chunk_bpe, decontaminate, line_spread, merkle, quality, simhash_bk, wavelet
 
-MODULES = (wavelet, simhash_bk, chat, chunk_bpe, merkle, quality)
+MODULES = (wavelet, simhash_bk, line_spread, chat, decontaminate, chunk_bpe, merkle, quality)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
