@@ -50,7 +50,6 @@ class Levels:
 class Windows:
     """The windows of a text by their seeds. Windows of one seed are neighbours."""
 
-    words: list[bytes]
     hashes: np.ndarray
     seed_hashes: np.ndarray
     twice_hashes: np.ndarray
@@ -59,23 +58,24 @@ class Windows:
     last: np.ndarray  # its last window
 
 
-def windows(raw: bytes, levels: Levels) -> Windows:
-    words = raw.split()
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    short = rolling(hashes, levels.seed)
-    span = levels.n - levels.seed + 1
+def hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def windows(hashes: np.ndarray, levels: Levels) -> Windows:
+    """Windows over a sequence given by a hash of each of its parts."""
+    short, twice = rolling(hashes, levels.seed), rolling(hashes, levels.twice)
     none = np.zeros(0, np.int64)
-    if len(words) < levels.n:
-        return Windows(words, hashes, short, rolling(hashes, levels.twice), none, none, none)
-    order = np.argsort(short, kind="stable")  # ties go to the left
-    rank = np.empty(len(short), np.int64)
-    rank[order] = np.arange(len(short))
-    seed_of = order[sliding(rank, span, np.minimum)]
+    if len(hashes) < levels.n:
+        return Windows(hashes, short, twice, none, none, none)
+    # The place fills the low half, in every text alike, so that ties go to the left.
+    low = np.uint64((1 << 32) - 1)
+    ranked = (short & ~low) | np.arange(len(short), dtype=np.uint64)
+    seed_of = (sliding(ranked, levels.n - levels.seed + 1, np.minimum) & low).astype(np.int64)
     edges = np.flatnonzero(np.diff(seed_of)) + 1
     first = np.concatenate([[0], edges])
     last = np.concatenate([edges, [len(seed_of)]]) - 1
-    twice = rolling(hashes, levels.twice)
-    return Windows(words, hashes, short, twice, seed_of[first], first, last)
+    return Windows(hashes, short, twice, seed_of[first], first, last)
 
 
 def seed_rows(docs: DataFrame, levels: Levels) -> DataFrame:
@@ -85,7 +85,7 @@ def seed_rows(docs: DataFrame, levels: Levels) -> DataFrame:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             out: list[list[np.ndarray]] = [[] for _ in range(7)]
             for key, raw in zip(batch.column("key").to_pylist(), utf8(batch.column("text"))):
-                w = windows(raw, levels)
+                w = windows(hashed(raw.split()), levels)
                 if not len(w.seeds):
                     continue
                 size = len(w.seeds)
@@ -165,7 +165,7 @@ def repeated_windows(docs: DataFrame, whole: DataFrame, n: int, folder: str | No
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
             for i in range(batch.num_rows):
-                w = windows(unpress.decompress(batch.column("z")[i].as_py()), levels)
+                w = windows(hashed(unpress.decompress(batch.column("z")[i].as_py()).split()), levels)
                 first = dict(zip(w.seeds.tolist(), zip(w.first.tolist(), w.last.tolist())))
                 starts: list[int] = []
                 for seed in batch.column("open")[i].as_py():
@@ -216,12 +216,12 @@ def drop_repeats(docs: DataFrame, n: int = WORDS, folder: str | None = None) ->
             for i in range(batch.num_rows):
                 raw = unpress.decompress(batch.column("z")[i].as_py())
                 all_of, starts = (batch.column(c)[i].as_py() or [] for c in ("all_of", "starts"))
+                words = raw.split()
                 if not all_of and not starts:
-                    words = raw.split()
                     out.append((batch.column("doc_id")[i].as_py(), len(words), 0, b" ".join(words)))
                     continue
-                w = windows(raw, levels)
-                change = np.zeros(len(w.words) + 1, np.int64)
+                w = windows(hashed(words), levels)
+                change = np.zeros(len(words) + 1, np.int64)
                 hit = np.isin(w.seeds, all_of)
                 np.add.at(change, w.first[hit], 1)
                 np.add.at(change, w.last[hit] + n, -1)
@@ -229,8 +229,8 @@ def drop_repeats(docs: DataFrame, n: int = WORDS, folder: str | None = None) ->
                 np.add.at(change, spots, 1)
                 np.add.at(change, spots + n, -1)
                 gone = np.cumsum(change[:-1]) > 0
-                kept = [x for x, g in zip(w.words, gone.tolist()) if not g]
-                out.append((batch.column("doc_id")[i].as_py(), len(w.words), int(gone.sum()), b" ".join(kept)))
+                kept = [x for x, g in zip(words, gone.tolist()) if not g]
+                out.append((batch.column("doc_id")[i].as_py(), len(words), int(gone.sum()), b" ".join(kept)))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             arrays = [pa.array(x, k) for x, k in zip(zip(*out), kinds)]
             arrays[3] = arrays[3].cast(pa.string())

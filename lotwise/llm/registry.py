@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from lotwise.llm import chat, chunk_bpe, decontaminate, doubling, line_spread, merkle, quality, simhash_bk, wavelet
+from lotwise.llm import bwt_merge, chat, chunk_bpe, decontaminate, doubling, line_spread, merkle, quality, simhash_bk, wavelet
 
-MODULES = (wavelet, simhash_bk, line_spread, doubling, chat, decontaminate, chunk_bpe, merkle, quality)
+MODULES = (
+    wavelet, simhash_bk, line_spread, doubling, chat, decontaminate, chunk_bpe, merkle, quality, bwt_merge
+)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
