@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from lotwise.llm import bwt_merge, chat, chunk_bpe, decontaminate, doubling, line_spread, merkle, quality, simhash_bk, wavelet
 
 MODULES = (
@@ -9,4 +10,7 @@ MODULES = (
 )
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

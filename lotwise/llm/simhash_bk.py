@@ -15,16 +15,19 @@ component has the smallest id that is not null. Repeated rows each give a row.
 
 from __future__ import annotations
 
+import bisect
+import functools
 import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import map_batches, map_slices, stored, table, texts, utf8
+from lotwise.llm.common import map_batches, map_slices, signed, stored, table, texts, utf8
 from lotwise.llm.graph import components
 from workload.folders import work_folder
 
@@ -37,11 +40,11 @@ BLOCK_BITS = 16
 BLOCKS = 4
 
 
-def fingerprint(raw: bytes, words: int = SHINGLE_WORDS) -> int:
-    """SimHash of the word shingles of a text as an unsigned 64-bit integer."""
+def shingle_hashes(raw: bytes, words: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hashes of the word shingles of a text, repeats included; of all its words if too few."""
     found = raw.lower().split()
     if not found:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(found)
     width = min(words, len(found))
     sizes = np.fromiter(map(len, found), np.int64, len(found)) + 1
@@ -50,10 +53,20 @@ def fingerprint(raw: bytes, words: int = SHINGLE_WORDS) -> int:
     last = len(found) - width + 1
     pairs = zip(starts[:last].tolist(), ends[width - 1 :].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in pairs], np.uint64)
+    return np.array([digest(line[a:b], SEED) for a, b in pairs], np.uint64)
+
+
+def fingerprint(raw: bytes, words: int = SHINGLE_WORDS) -> int:
+    """SimHash of the word shingles of a text as an unsigned 64-bit integer."""
+    return majority(shingle_hashes(raw, words))
+
+
+def majority(hashes: np.ndarray) -> int:
+    if not len(hashes):
+        return 0
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    majority = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
-    return int(np.packbits(majority, bitorder="little").view(np.uint64)[0])
+    most = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
+    return int(np.packbits(most, bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
@@ -107,6 +120,24 @@ class BKTree:
         return found
 
 
+    def nearest(self, value: int, radius: int, count: int) -> list[int]:
+        """The ``count`` closest other values within ``radius``, ties to the smallest."""
+        best: list[tuple[int, int]] = []
+        open_nodes = [self.root] if self.root else []
+        while open_nodes:
+            own, children = open_nodes.pop()
+            distance = (own ^ value).bit_count()
+            if own != value and distance <= radius:
+                bisect.insort(best, (distance, own))
+                if len(best) >= count:
+                    del best[count:]
+                    radius = min(radius, best[-1][0])
+            for d in range(max(1, distance - radius), distance + radius + 1):
+                if d in children:
+                    open_nodes.append(children[d])
+        return [own for _, own in best]
+
+
 def bucket_keys(fp: Column) -> Column:
     """One key for each pair of blocks: the number of the pair and the bits of both."""
     block = [
@@ -176,6 +207,163 @@ def near_groups(docs: DataFrame, folder: str | None = None, words: int = SHINGLE
     return rows.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
+def pressed(rows: DataFrame) -> DataFrame:
+    """(th, z): the texts of ``rows`` (th, text) compressed."""
+
+    def make():
+        press = zstandard.ZstdCompressor(level=3)
+
+        def step(batch):
+            z = pa.array([press.compress(x) for x in utf8(batch.column("text"))], pa.binary())
+            return pa.RecordBatch.from_arrays([batch.column("th"), z], ["th", "z"])
+
+        return step
+
+    return map_slices(rows.select("th", "text"), make, "th long, z binary")
+
+
+# --- Near-duplicates by the similarity of their shingles --------------------------------------
+
+SIMILAR_WORDS = 5
+SIMILARITY = 0.8
+#: Buckets for each text: two texts of similarity 0.8 meet in none with a chance of 3e-5.
+BANDS = 20
+BAND_ROWS = 4
+#: Fingerprints of texts of similarity 0.8 differ in about 10 bits, and in 18 at most as measured.
+SIMILAR_RADIUS = 24
+#: Nearest fingerprints that a text is compared with in each shard of each of its buckets.
+NEAREST = 4
+
+
+@functools.cache
+def _multipliers() -> np.ndarray:
+    rng = np.random.default_rng(11)
+    return rng.integers(1, 1 << 63, (1, BANDS * BAND_ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """Keys of the buckets of a text: hashes of the least values of its shingles."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    with np.errstate(over="ignore"):
+        for at in range(0, len(hashes), 2048):
+            block = hashes[at : at + 2048, None] * _multipliers()
+            least = np.minimum(least, block.min(axis=0))
+    rows = least.reshape(BANDS, BAND_ROWS)
+    return [xxhash.xxh3_64_intdigest(rows[i].tobytes(), i) for i in range(BANDS)]
+
+
+def similar_candidates(whole: DataFrame, tree_size: int = TREE_SIZE) -> DataFrame:
+    """(a, b): for each text (th, z) and bucket the texts with the nearest fingerprints there.
+
+    Buckets are those of equal least shingle hashes, cut into shards with a BK-tree each. A
+    text asks every shard of its buckets for the nearest, so a group of any size gives each
+    of its texts a few links, never all pairs. What a text misses in one bucket, as others
+    are nearer, it meets in another or through a neighbour.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor()
+        for batch in batches:
+            th, fps, keys = [], [], []
+            for own, z in zip(batch.column("th").to_pylist(), batch.column("z")):
+                hashes = shingle_hashes(unpress.decompress(z.as_py()), SIMILAR_WORDS)
+                if len(hashes):
+                    th.append(own)
+                    fps.append(majority(hashes))
+                    keys.append(signed(band_keys(hashes)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(th, pa.int64()), pa.array(signed(fps)), pa.array(keys, pa.list_(pa.int64()))],
+                ["th", "fp", "keys"],
+            )
+
+    signed_rows = map_batches(whole.select("th", "z"), sign, "th long, fp long, keys array<long>")
+    # Texts of one fingerprint are linked to the first of them and to the rest through it.
+    members = signed_rows.select("th", "fp", F.explode("keys").alias("bucket"))
+    same = members.groupBy("bucket", "fp").agg(F.min("th").alias("first"), F.collect_set("th").alias("all"))
+    sizes = same.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("all")).alias("texts")
+    ).where("texts > 1")
+    same = same.join(sizes, "bucket").withColumn("shards", F.ceil(F.col("n") / tree_size))
+    stars = same.select(F.col("first").alias("a"), F.explode("all").alias("b")).where("a <> b")
+    shard = F.pmod(F.xxhash64("fp"), F.col("shards"))
+    held = same.select("bucket", shard.alias("shard"), F.lit(0).alias("asks"), "fp", "first")
+    asked = same.select(
+        "bucket",
+        F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
+        F.lit(1).alias("asks"),
+        "fp",
+        "first",
+    )
+    rows = held.unionByName(asked).repartition("bucket", "shard")
+    rows = rows.sortWithinPartitions("bucket", "shard", "asks")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, first, tree = None, {}, None
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "shard", "asks", "fp", "first")]
+            for bucket, part, asks, fp, th in zip(*columns):
+                fp &= (1 << 64) - 1
+                if (bucket, part) != key:
+                    key, first, tree = (bucket, part), {}, None
+                if not asks:
+                    first[fp] = th
+                    continue
+                tree = tree or BKTree(list(first))
+                near = [first[x] for x in tree.nearest(fp, SIMILAR_RADIUS, NEAREST)]
+                out += [(min(th, x), max(th, x)) for x in near]
+            if out:
+                a, b = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return map_batches(rows, search, "a long, b long").unionByName(stars).distinct()
+
+
+def similar_groups(
+    docs: DataFrame, folder: str | None = None, similarity: float = SIMILARITY
+) -> DataFrame:
+    """(key, th, kept): every row of ``docs`` and whether it stays, one of each group.
+
+    Groups are joined by pairs of texts whose sets of five-word shingles have this
+    similarity or more; the pairs come from ``similar_candidates`` and are verified on the
+    whole texts. The row with the smallest id stays, null ids last; of equal rows one.
+    """
+    rows = with_text_hash(texts(docs)).withColumn("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    texts_ = stored(pressed(rows).groupBy("th").agg(F.first("z").alias("z")), "texts", folder)
+    pairs = stored(similar_candidates(texts_), "candidates", folder)
+    left = pairs.join(texts_.select(F.col("th").alias("a"), F.col("z").alias("za")), "a")
+    both = left.join(texts_.select(F.col("th").alias("b"), F.col("z").alias("zb")), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor()
+
+        def shingles(z) -> np.ndarray:
+            return np.unique(shingle_hashes(unpress.decompress(z.as_py()), SIMILAR_WORDS))
+
+        for batch in batches:
+            near = []
+            for za, zb in zip(batch.column("za"), batch.column("zb")):
+                a, b = shingles(za), shingles(zb)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                near.append(common >= similarity * (len(a) + len(b) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    links = map_batches(both.select("a", "b", "za", "zb"), verify, "a long, b long")
+    joined = components(links, folder).select(F.col("node").alias("th"), "root")
+    grouped = rows.select("key", "th").join(joined, "th", "left").withColumn("root", F.coalesce("root", "th"))
+    grouped = stored(grouped, "groups", folder)
+    first = grouped.groupBy("root").agg(F.min(F.struct("key", "th")).alias("first"))
+    keep = grouped.join(first, "root").select(
+        "key", "th", F.struct("key", "th").eqNullSafe(F.col("first")).alias("kept")
+    )
+    return keep.dropDuplicates(["key", "th"])
+
+
+def with_text_hash(docs: DataFrame) -> DataFrame:
+    """Add ``th``, the hash of the text that ``similar_groups`` names it by."""
+    return docs.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(table(spark, sf_dir, "documents"), work_folder(spark))
     shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
