@@ -62,6 +62,17 @@ def encode(coder: tiktoken.Encoding, raw: bytes) -> np.ndarray:
     return np.asarray(coder.encode_to_numpy(raw.decode("utf-8"), allowed_special="all"), dtype=np.uint32)
 
 
+def pack(ids: np.ndarray) -> bytes:
+    """Ids below 65536 as compressed 16-bit integers, for the shuffles of shared chunks."""
+    kind = "<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4"
+    return kind[-1].encode() + zstandard.compress(ids.astype(kind).tobytes())
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    kind = "<u" + raw[:1].decode()
+    return np.frombuffer(zstandard.decompress(raw[1:]), kind).astype(np.uint32)
+
+
 def cut(raw: bytes, bits: int = CHUNK_BITS) -> list[int]:
     """Ends of the chunks of a text: where a hash of the last 16 bytes has ``bits`` zero bits."""
     n = len(raw)
@@ -231,7 +242,7 @@ def _encode_duties(tokenizer: str, batches):
                 start = ends[duty["seq"] - 1] if duty["seq"] else 0
                 h1.append(duty["h1"])
                 h2.append(duty["h2"])
-                ids.append(encode(coder, raw[start : ends[duty["seq"]]]).tobytes())
+                ids.append(pack(encode(coder, raw[start : ends[duty["seq"]]])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(ids, pa.binary())],
                 ["h1", "h2", "ids"],
@@ -246,7 +257,7 @@ def _encode_rows(tokenizer: str, batches):
         for i in range(batch.num_rows):
             raw = unpress.decompress(batch.column("z")[i].as_py())
             given = batch.column("shared")[i].as_py() or []
-            shared = {x["seq"]: np.frombuffer(x["ids"], np.uint32) for x in given}
+            shared = {x["seq"]: unpack(x["ids"]) for x in given}
             ids = assemble(raw, shared, code)
             back = coder.decode_bytes(ids.tolist()).decode("utf-8", errors="replace")
             out.append((batch.column("doc_id")[i].as_py(), ids.tobytes(), len(ids), len(shared), back))
