@@ -102,9 +102,14 @@ def to_bool(col: Column) -> Column:
 
 
 def parse_list(col: Column) -> Column:
-    """Text of a list literal to array<string>; blank or bad text to an empty array."""
+    """Text of a list literal to array<string>; blank or bad text to an empty array.
+
+    A bare None is a null element.
+    """
+    # Outside of quotes: what follows has its quotes in pairs.
+    none = r"""\bNone\b(?=(?:[^'"]*(?:'[^']*'|"[^"]*"))*[^'"]*$)"""
     options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
-    return F.coalesce(F.from_json(col, "array<string>", options), F.array().cast("array<string>"))
+    return F.coalesce(F.from_json(F.regexp_replace(col, none, "null"), "array<string>", options), F.array().cast("array<string>"))
 
 
 def first_number(col: Column, dtype: str = "double") -> Column:

@@ -5,40 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is summed in whole units of this fraction, so that an average does not
-# depend on the order in which partial sums are merged.
-MONEY_UNITS = 10_000
-
-
-def money_parts(value: Column, name: str) -> list[Column]:
-    """Partial sums of ``value`` from which ``money_avg`` builds the mean."""
-    units = F.rint(value * MONEY_UNITS).try_cast("bigint")
-    total = F.try_sum(units)
-    return [
-        F.count(value).alias(f"{name}_n"),
-        F.when(total.isNotNull(), F.count(units)).otherwise(0).alias(f"{name}_exact_n"),
-        total.alias(f"{name}_units"),
-        F.sum(value).alias(f"{name}_plain"),
-    ]
-
-
-def money_parts_merged(name: str) -> list[Column]:
-    """Sum up partial sums over coarser groups."""
-    return [
-        F.sum(f"{name}_n").alias(f"{name}_n"),
-        F.sum(f"{name}_exact_n").alias(f"{name}_exact_n"),
-        F.try_sum(f"{name}_units").alias(f"{name}_units"),
-        F.sum(f"{name}_plain").alias(f"{name}_plain"),
-    ]
-
-
-def money_avg(name: str) -> Column:
-    """Mean from partial sums; the plain sum serves where the units overflow a bigint."""
-    exact = (F.col(f"{name}_exact_n") == F.col(f"{name}_n")) & F.col(f"{name}_units").isNotNull()
-    units = F.col(f"{name}_units").cast("double") / MONEY_UNITS
-    total = F.when(exact, units).otherwise(F.col(f"{name}_plain"))
-    return F.try_divide(total, F.col(f"{name}_n"))
-
 
 def nested_in_order(columns: list[str], order: list[Column]) -> Column:
     """Rows of a group as an array of structs, sorted by ``order`` inside the aggregate."""

@@ -95,7 +95,10 @@ def word_counts(df: DataFrame, keys: Sequence[str], text: str, **options) -> Dat
 
 
 def drop_stopwords(words: DataFrame, stop: DataFrame, word: str = "word") -> DataFrame:
-    """Remove the words listed in a table; Spark broadcasts it if it is small enough."""
+    """Remove the words listed in a table, best before they are counted.
+
+    Spark broadcasts the list if its size is known to be small, as for a file or a range.
+    """
     return words.join(stop.select(word).distinct(), word, "left_anti")
 
 

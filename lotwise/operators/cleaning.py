@@ -78,14 +78,17 @@ def _filled(df: DataFrame, fills: DataFrame, cols: Sequence[str], gap_to_null: M
 
 
 def impute_median(
-    df: DataFrame, cols: Sequence[str], exclude: Sequence[str] = ("price",)
+    df: DataFrame,
+    cols: Sequence[str],
+    exclude: Sequence[str] = ("price",),
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """Numeric gaps become the exact median of their column."""
+    """Numeric gaps become the median of their column: exact, or by sketches of this accuracy."""
     cols = [c for c in cols if c not in exclude]
     if not cols:
         return df
     present = {c: F.when(~is_missing(df, c), F.col(c).cast("double")) for c in cols}
-    return _filled(df, medians(df, cols), cols, present)
+    return _filled(df, medians(df, cols, accuracy), cols, present)
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -108,14 +111,22 @@ def fill_like(df: DataFrame, pattern: str = "*color*", value: str = "Unknown") -
     return df.withColumns(fill) if fill else df
 
 
-def dedupe_latest(df: DataFrame, key: str, date: str, tie: Sequence[str]) -> DataFrame:
+def dedupe_latest(
+    df: DataFrame, key: str, date: str, tie: Sequence[str], null_key: str = "keep"
+) -> DataFrame:
     """Per key the row with the latest date, null dates last, ties by ``tie``.
 
+    Rows without a key (null or blank) are no copies of each other and all stay;
+    ``null_key="collapse"`` treats them as one key instead.
     The rank filter runs in each task before the shuffle too, so however often a key
     occurs, a task passes on one row for it.
     """
     order = [F.desc_nulls_last(date), *[F.asc_nulls_last(t) for t in tie]]
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    own = [F.col(key)]
+    if null_key == "keep":
+        absent = F.coalesce(F.trim(F.col(key).cast("string")) == "", F.lit(True))
+        own.append(F.when(absent, F.monotonically_increasing_id()))
+    place = F.row_number().over(Window.partitionBy(*own).orderBy(*order))
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 

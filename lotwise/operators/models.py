@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.scalars import bracketed, two_decimals
-from lotwise.operators.aggregates import money_avg, money_parts, money_parts_merged, nested_in_order
+from lotwise.operators.aggregates import nested_in_order
 
 YEARS = (1900, 2025)
 
@@ -53,7 +53,8 @@ def group_profile(
         F.count(F.lit(1)).alias("n"),
         F.min(value).alias("low"),
         F.max(value).alias("high"),
-        *money_parts(F.col(value), "v"),
+        F.count(value).alias("with_value"),
+        F.sum(value).alias("total"),
     )
     return (
         fine.groupBy(*keys)
@@ -61,7 +62,8 @@ def group_profile(
             F.sum("n").alias("n"),
             F.min("low").alias(f"min_{value}"),
             F.max("high").alias(f"max_{value}"),
-            *money_parts_merged("v"),
+            F.sum("with_value").alias("with_value"),
+            F.sum("total").alias("total"),
             F.sort_array(F.collect_list(set_col)).alias(f"{set_col}s"),
         )
         .select(
@@ -69,7 +71,7 @@ def group_profile(
             "n",
             f"min_{value}",
             f"max_{value}",
-            money_avg("v").alias(f"avg_{value}"),
+            F.try_divide("total", "with_value").alias(f"avg_{value}"),
             f"{set_col}s",
         )
     )

@@ -77,8 +77,19 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows (column, value, n) with values as text; nulls are not counted."""
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    """Rows (column, value, n) with values as text; nulls and NaN are not counted.
+
+    The two zeros of floating point are one value.
+    """
+    floats = {n for n, t in df.dtypes if t in ("float", "double")}
+
+    def text(name: str):
+        value = F.col(f"`{name}`")
+        if name in floats:
+            value = F.when(~F.isnan(value), value + F.lit(0).cast("float"))
+        return value.cast("string").alias(name)
+
+    texts = df.select(*[text(c) for c in cols])
     long = texts.unpivot([], list(cols), "column", "value").where(F.col("value").isNotNull())
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
@@ -100,7 +111,18 @@ def most_common(counts: DataFrame) -> DataFrame:
 
 
 def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return most_common(value_counts(df, cols))
+    """Rows (column, n, n_unique, top, top_n); a column without values has zeros and no top."""
+    found = most_common(value_counts(df, cols))
+    zero = {c: F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "n_unique", "top_n")}
+    return _names(df, cols).join(found, "column", "left").select(
+        "column", zero["n"], zero["n_unique"], "top", zero["top_n"]
+    )
+
+
+def _names(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The names as a table, without reading any."""
+    names = F.array(*[F.lit(c) for c in cols])
+    return df.sparkSession.range(1).select(F.explode(names).alias("column"))
 
 
 def unique_counts(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -112,8 +134,7 @@ def unique_counts(df: DataFrame, approx: bool = False) -> DataFrame:
     else:
         found = value_counts(df, df.columns).groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
         # A column of nulls only has no value rows.
-        names = _per_column(df, {c: {"any": F.count(f"`{c}`")} for c in df.columns})
-        out = names.join(found, "column", "left").select(
+        out = _names(df, df.columns).join(found, "column", "left").select(
             "column", F.coalesce("n_unique", F.lit(0)).alias("n_unique")
         )
     return out.orderBy(F.desc("n_unique"), "column")

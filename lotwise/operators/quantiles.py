@@ -15,14 +15,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bins per unit of ln(1 + |v|). Doubles reach 710 on that scale, so a column
-# has fewer than 6 million bins, and about 80 thousand for values up to 10**9.
+# Bins per unit of ln|v|. Doubles have logarithms from -745 to 710, so a column has
+# fewer than 12 million bins, and about 80 thousand for values from 1 to 10**9.
 BINS_PER_UNIT = 4096
+LN_SMALLEST = 746
 SLICES_PER_BIN = 65536
 
 
 def _scale(value: Column) -> Column:
-    return F.signum(value) * F.log1p(F.abs(value)) * BINS_PER_UNIT
+    """Grows with the value and spreads small magnitudes as far as large ones."""
+    size = (F.log(F.abs(value)) + LN_SMALLEST) * BINS_PER_UNIT
+    return F.when(value == 0, 0.0).otherwise(F.signum(value) * size)
 
 
 def _numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -90,13 +93,17 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> Dat
         at(F.floor("rank")).alias("low"), at(F.ceil("rank")).alias("high")
     )
     part = F.col("rank") - F.floor("rank")
-    return picked.select(
-        "column", "prob", (F.col("low") + part * (F.col("high") - F.col("low"))).alias("value")
-    )
+    between = F.col("low") + part * (F.col("high") - F.col("low"))
+    # Of equal neighbours one is the value: the difference of infinities is no number.
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between)
+    return picked.select("column", "prob", value.alias("value"))
 
 
-def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row with the exact median of each column."""
+def medians(df: DataFrame, cols: Sequence[str], accuracy: int | None = None) -> DataFrame:
+    """One row with the median of each column: exact, or by sketches of this accuracy in one scan."""
+    if accuracy:
+        present = {c: F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols}
+        return df.agg(*[F.percentile_approx(v, 0.5, accuracy).alias(c) for c, v in present.items()])
     mid = quantiles(df, cols, [0.5])
     return mid.agg(
         *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in cols]

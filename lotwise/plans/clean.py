@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -57,10 +58,15 @@ class CleanConfig:
     key: str = "vin"
     tie: tuple[str, ...] = ("listing_id",)
     never_median: tuple[str, ...] = ("price", "vin", "listing_id", "sp_id")
-    never_mode: tuple[str, ...] = ("vin", "listing_id", "sp_id", "description", "main_picture_url")
+    never_mode: tuple[str, ...] = (
+        "vin", "listing_id", "sp_id", "description", "description_cleaned", "main_picture_url"
+    )
+    never_flag: tuple[str, ...] = ("price", "vin", "listing_id")
     keys_to_normalize: tuple[str, ...] = ("make_name", "model_name", "city")
     color_pattern: str = "*color*"
     impute: bool = True
+    impute_first: bool = False
+    median_accuracy: int | None = None
     inch: tuple[str, ...] = field(default=tuple(INCH_COLUMNS))
     gallon: tuple[str, ...] = field(default=tuple(GALLON_COLUMNS))
     boolean: tuple[str, ...] = field(default=tuple(BOOLEAN_COLUMNS))
@@ -138,20 +144,30 @@ def clean_listings(
 ) -> DataFrame:
     """Drop sparse columns, type, de-duplicate, repair, then flag and fill the gaps.
 
+    With ``impute_first`` gaps are filled before duplicates go and columns are repaired.
     The table before imputation is written to the shared folder once: the statistics
-    passes read single columns of it instead of repeating the de-duplication.
+    passes read single columns of it instead of repeating the de-duplication. Every column
+    with a gap gets a flag, whether it is filled or not, except those of ``never_flag``.
     """
     kept = drop_sparse(raw, config.sparse_threshold)
-    typed = consistent_listings(typed_listings(kept, config), config)
+    typed = typed_listings(kept, config)
     if not config.impute:
-        return in_file_order(typed)
+        return in_file_order(consistent_listings(typed, config))
+    if config.impute_first:
+        return in_file_order(consistent_listings(without_gaps(typed, config, folder), config))
+    return in_file_order(without_gaps(consistent_listings(typed, config), config, folder))
+
+
+def without_gaps(typed: DataFrame, config: CleanConfig, folder: str | None) -> DataFrame:
+    """Flag every column with gaps and fill those that the configuration fills."""
     table = materialize(typed, "listings", folder)
-    numbers = [c for c in numeric_columns(table) if c not in config.never_median]
-    texts = [c for c in text_columns(table) if c not in config.never_mode]
-    gaps = columns_with_gaps(table, numbers + texts)
-    numbers = [c for c in numbers if c in gaps]
-    colors = [c for c in texts if "color" in c]
-    modes = [c for c in texts if c in gaps and c not in colors]
-    flagged = flag_missing(flag_missing(table, numbers), [c for c in texts if c in gaps], blank=True)
-    filled = impute_mode(impute_median(flagged, numbers, exclude=()), modes)
-    return in_file_order(fill_like(filled, config.color_pattern))
+    gaps = columns_with_gaps(table, numeric_columns(table) + text_columns(table))
+    numbers = [c for c in numeric_columns(table) if c in gaps]
+    texts = [c for c in text_columns(table) if c in gaps]
+    flags = [[c for c in names if c not in config.never_flag] for names in (numbers, texts)]
+    flagged = flag_missing(flag_missing(table, flags[0]), flags[1], blank=True)
+    medians = [c for c in numbers if c not in config.never_median]
+    colors = [c for c in texts if fnmatch.fnmatchcase(c, config.color_pattern)]
+    modes = [c for c in texts if c not in config.never_mode and c not in colors]
+    filled = impute_median(flagged, medians, exclude=(), accuracy=config.median_accuracy)
+    return fill_like(impute_mode(filled, modes), config.color_pattern)

@@ -69,10 +69,14 @@ def market_profile(
     closed: str = "right",
     k: int = 3,
     stop: Iterable[str] = STOP_WORDS,
+    **tokenizing,
 ) -> DataFrame:
-    """Per (city, year): all bands with count, mean days and top words."""
+    """Per (city, year): all bands with count, mean days and top words.
+
+    ``punct`` and ``min_len`` are passed on to the tokenizer.
+    """
     banded = valid_market(listings).withColumn("band", price_band(F.col("price"), cuts, closed=closed))
-    return complete_bands(band_profile(banded, k=k, stop=stop))
+    return complete_bands(band_profile(banded, k=k, stop=stop, **tokenizing))
 
 
 def market_report(listings: DataFrame, **options) -> DataFrame:

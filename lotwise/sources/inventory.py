@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 def input_inventory(
     spark: SparkSession, path: str | list[str], fmt: str = "parquet", **options
 ) -> DataFrame:
-    """Rows (file_name, n_rows, size_mb) per input file; no data column is read."""
-    rows = spark.read.format(fmt).options(**options).load(path)
-    files = rows.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_size").alias("file_size"),
+    """Rows (file_name, n_rows, size_mb) per input file, empty files included.
+
+    Starts from the list of files; of the data only the number of rows is read.
+    """
+    name = F.col("_metadata.file_path").alias("file_path")
+    listed = spark.read.format("binaryFile").load(path).select(
+        name, F.col("_metadata.file_name").alias("file_name"), F.col("length").alias("file_size")
     )
-    return (
-        files.groupBy("file_path", "file_name", "file_size")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select("file_name", "n_rows", (F.col("file_size") / (1024 * 1024)).alias("size_mb"))
+    counted = (
+        spark.read.format(fmt).options(**options).load(path).select(name)
+        .groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+    return listed.join(counted, "file_path", "left").select(
+        "file_name",
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        (F.col("file_size") / (1024 * 1024)).alias("size_mb"),
     )

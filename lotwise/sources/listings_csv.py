@@ -4,18 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.functions.scalars import trimmed
 from lotwise.schema import project, require_columns, text_schema
 
 BAD_ROW = "_bad_row"
 
-# A file up to this size is read by one task; larger ones are read in splits, which
-# shuffles the text but uses the whole cluster.
-WHOLE_FILE_BYTES = 1 << 30
-
 _FORMAT = {
     "quote": '"',
     "escape": '"',
@@ -41,122 +36,30 @@ def read_listings_csv(
 
 
 def read_flagged_csv(
-    spark: SparkSession,
-    path: str | list[str],
-    multiline: bool = True,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
+    spark: SparkSession, path: str | list[str], multiline: bool = True
 ) -> DataFrame:
     """CSV as text columns, plus the whole record in ``_bad_row`` where its width is wrong.
 
-    A file whose header differs from the first one raises instead of shifting columns;
-    files beyond ``whole_file_bytes`` are trusted to have the same header. Spark's
-    multi-line reader cannot split a file, so these are stitched from lines instead.
+    A quote opens a field only where the field starts. A file whose header differs from
+    the first one raises instead of shifting columns. With ``multiline`` a task reads whole
+    files, however large, since only the text before a line tells whether it starts a
+    record: give large inputs as many files, or without line breaks in fields.
     """
     reader = spark.read.options(header=True, multiLine=multiline, **_FORMAT)
     names = reader.csv(path).columns
-    schema = text_schema(names).add(BAD_ROW, "string")
-
-    def whole(paths):
-        # The parser must see all fields of a record to judge its width, hence no
-        # column pruning inside it.
-        options = {
-            "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": BAD_ROW,
-            "enforceSchema": False,
-            "columnPruning": False,
-        }
-        return reader.options(**options).schema(schema).csv(paths)
-
-    if not multiline:
-        return whole(path)
-    # Lists the folder; file contents are not read.
-    files = spark.read.format("binaryFile").load(path).select("path", "length")
-    large = [row.path for row in files.where(F.col("length") > whole_file_bytes).collect()]
-    if not large:
-        return whole(path)
-    small = [row.path for row in files.where(F.col("length") <= whole_file_bytes).collect()]
-    record = from_record(stitched_records(spark, large), schema)
-    return record.unionByName(whole(small)) if small else record
-
-
-def from_record(records: DataFrame, schema) -> DataFrame:
-    """Parse whole CSV records held in the column ``record``.
-
-    Through ``inline``, as filters on the fields would otherwise be pushed below the
-    projection and parse the record again for each field they name.
-    """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW, **_FORMAT}
-    ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
-    return records.select(F.inline(F.array(F.from_csv("record", ddl, options))))
-
-
-def stitched_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Records of CSV files read in splits, as text, without the header line of each file.
-
-    A line break belongs to a field if an odd number of quotes precedes it in the file.
-    The quotes are counted per line, summed over one row per split, and then over the
-    lines of a split, so no task handles more than one split. Only lines that are no
-    record by themselves are brought together.
-    """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    lines = (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("pos"),
-            (quotes % 2).alias("odd"),
-            "value",
-        )
-    )
-    in_split = (
-        Window.partitionBy("file", "split")
-        .orderBy("pos")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    before = (F.sum("odd").over(in_split) - F.col("odd")) % 2
-    # Record starts in a split, for either state of the quotes at its beginning.
-    counted = (
-        lines.withColumn("before", before)
-        .groupBy("file", "split")
-        .agg(
-            F.sum("odd").alias("quotes"),
-            F.count_if(F.col("before") == 0).alias("starts_outside"),
-            F.count_if(F.col("before") == 1).alias("starts_inside"),
-        )
-    )
-    earlier = (
-        Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    opened = counted.withColumn("inside", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
-    starts = F.when(F.col("inside") == 0, F.col("starts_outside")).otherwise(F.col("starts_inside"))
-    last_start = F.when(starts > 0, F.struct(F.col("split"), starts.alias("number")))
-    splits = opened.select(
-        "file", "split", "inside", F.last(last_start, ignorenulls=True).over(earlier).alias("open")
-    )
-
-    placed = lines.join(splits, ["file", "split"]).withColumn(
-        "before", (F.col("inside") + F.sum("odd").over(in_split) - F.col("odd")) % 2
-    )
-    is_start = (F.col("before") == 0).cast("int")
-    numbered = placed.withColumns(
-        {"number": F.sum(is_start).over(in_split), "line": F.count(F.lit(1)).over(in_split)}
-    ).where((F.col("split") > 0) | (F.col("line") > 1))
-
-    alone = (F.col("before") == 0) & (F.col("odd") == 0)
-    own = F.struct("split", "number")
-    key = F.when(F.col("number") > 0, own).otherwise(F.col("open"))
-    joined = (
-        numbered.where(~alone)
-        .groupBy("file", key.alias("key"))
-        .agg(F.array_sort(F.collect_list(F.struct("split", "pos", "value"))).alias("parts"))
-        .select(F.array_join("parts.value", "\n").alias("record"))
-    )
-    records = numbered.where(alone).select(F.col("value").alias("record")).unionByName(joined)
-    return records.where(trimmed(F.col("record")) != "").select(
-        F.regexp_replace("record", "\r$", "").alias("record")
-    )
+    # The parser must see all fields of a record to judge its width, hence no column
+    # pruning inside it.
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": BAD_ROW,
+        "enforceSchema": False,
+        "columnPruning": False,
+    }
+    rows = reader.options(**options).schema(text_schema(names).add(BAD_ROW, "string")).csv(path)
+    # The second value is never there. It keeps a data column in every plan, as Spark
+    # refuses to read the record column alone, such as for a count.
+    never = F.when(F.length(F.col(f"`{names[0]}`")) < 0, F.lit(""))
+    return rows.withColumn(BAD_ROW, F.coalesce(BAD_ROW, never))
 
 
 def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -115,3 +115,28 @@ def test_cleaned_keys_are_unique(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     out = C.dedupe_latest(orders, "o_custkey", "o_orderdate", ["o_orderkey"])
     assert out.count() == orders.select("o_custkey").distinct().count()
+
+
+def test_rows_without_a_key_are_no_copies(spark):
+    rows = [("a", 1), ("a", 2), (None, 1), (None, 2), ("", 1), (" ", 1)]
+    df = spark.createDataFrame(rows, "vin string, day int")
+    assert C.dedupe_latest(df, "vin", "day", []).count() == 5
+    assert C.dedupe_latest(df, "vin", "day", [], null_key="collapse").count() == 4
+
+
+def test_descriptions_are_not_made_up(spark, tmp_path):
+    rows = [(str(i), None if i < 3 else "same text", "1") for i in range(9)]
+    raw = spark.createDataFrame(rows, "vin string, description string, price string")
+    cleaned = clean_listings(raw, folder=str(tmp_path))
+    assert cleaned.where("description_cleaned = 'same text'").count() == 6
+    assert cleaned.agg(F.sum("description_missing"), F.sum("description_cleaned_missing")).first() == (3, 3)
+    first = clean_listings(raw, CleanConfig(impute_first=True), str(tmp_path))
+    assert sorted(first.columns) == sorted(cleaned.columns) and first.count() == 9
+
+
+def test_profiles_of_floats_and_gaps(spark):
+    rows = [(0.0, None, "a"), (-0.0, None, "b"), (float("nan"), None, "b")]
+    df = spark.createDataFrame(rows, "x double, gone string, s string")
+    assert {r.column: r.n_unique for r in P.unique_counts(df).collect()} == {"x": 1, "gone": 0, "s": 2}
+    texts = {r.column: tuple(r)[1:] for r in P.describe_text(df, ["gone", "s"]).collect()}
+    assert texts == {"gone": (0, 0, None, 0), "s": (3, 2, "b", 2)}

@@ -1,4 +1,4 @@
-"""CSV reading: names, quotes, line breaks, bad rows, files in splits."""
+"""CSV reading: names, quotes, line breaks, bad rows."""
 
 from __future__ import annotations
 
@@ -13,20 +13,10 @@ from lotwise.sources.sinks import write_table
 TRICKY = 'id,text,n\n1,"a ""q"" b",x\n2,"two\nlines, and\n\n""more""",y\n3,short\n4,a,b,c\n5,,\n'
 
 
-@pytest.fixture
-def small_splits(spark):
-    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
-    old = {name: spark.conf.get(name) for name in names}
-    yield lambda size: [spark.conf.set(name, v) for name, v in zip(names, (str(size), "0"))]
-    for name, value in old.items():
-        spark.conf.set(name, value)
-
-
-@pytest.mark.parametrize("whole_file_bytes", [1 << 30, 0])
-def test_quotes_breaks_and_bad_rows(spark, tmp_path, whole_file_bytes):
+def test_quotes_breaks_and_bad_rows(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text(TRICKY)
-    good, bad = split_bad_rows(read_flagged_csv(spark, str(path), whole_file_bytes=whole_file_bytes))
+    good, bad = split_bad_rows(read_flagged_csv(spark, str(path)))
     assert sorted(map(tuple, good.collect())) == [
         ("1", 'a "q" b', "x"),
         ("2", 'two\nlines, and\n\n"more"', "y"),
@@ -39,37 +29,22 @@ def test_bad_rows_are_found_when_columns_are_pruned(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text(TRICKY)
     assert [r.id for r in read_listings_csv(spark, str(path), ["id"]).orderBy("id").collect()] == ["1", "2", "5"]
-    good, bad = split_bad_rows(read_flagged_csv(spark, str(path), whole_file_bytes=0))
-    assert [r.id for r in good.select("id").orderBy("id").collect()] == ["1", "2", "5"]
-    assert bad.select("id").count() == 2
-    parsed = good.where("id > '1' AND text IS NOT NULL")._jdf.queryExecution().executedPlan().toString()
-    assert parsed.count("from_csv(") == 1
-
-
-@pytest.mark.parametrize("split", [40, 500])
-@pytest.mark.parametrize("ending", ["\n", "\r\n"])
-def test_stitched_equals_whole(spark, tmp_path, small_splits, split, ending):
-    said = 'say ""hi"" '
-    rows = [f'{i},"{said * (i % 3)}{"line~" * (i % 5)}",{i * i}' for i in range(60)]
-    for part in range(2):
-        text = "id,text,n\n" + "\n".join(rows[part * 30 :][:30]) + "\n"
-        # Line breaks inside quotes stay as they are; those between records vary.
-        (tmp_path / f"p{part}.csv").write_bytes(text.replace("\n", ending).replace("~", "\n").encode())
-    small_splits(split)
-    stitched = read_flagged_csv(spark, str(tmp_path), whole_file_bytes=0)
-    got = sorted(map(tuple, stitched.collect()))
-    want = sorted(
-        (str(i), (('say "hi" ' * (i % 3)) + "line\n" * (i % 5)) or None, str(i * i), None) for i in range(60)
-    )
-    assert [(a, b or None, c, d) for a, b, c, d in got] == want
-
-
-def test_small_and_large_files_together(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("id,text\n1,x\n")
-    (tmp_path / "b.csv").write_text("id,text\n" + "".join(f'{i},"long\n{i}"\n' for i in range(2, 50)))
-    df = read_flagged_csv(spark, str(tmp_path), whole_file_bytes=100)
-    assert df.count() == 49
-    assert df.where("text = 'long\n7'").count() == 1
+
+
+@pytest.mark.parametrize("multiline", [True, False])
+def test_rows_can_be_counted(spark, tmp_path, multiline):
+    path = tmp_path / "t.csv"
+    path.write_text("id,text,n\n1,x,y\n2,short\n3,a,b\n")
+    good, bad = split_bad_rows(read_flagged_csv(spark, str(path), multiline))
+    assert (good.count(), bad.count()) == (2, 1)
+    assert read_listings_csv(spark, str(path), multiline=multiline).count() == 2
+
+
+def test_a_quote_inside_a_field_is_text(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('id,text\n1,24" wheels\n2,5" rim\n3,plain\n4,"quoted ""x"""\n')
+    rows = read_listings_csv(spark, str(path)).orderBy("id").collect()
+    assert [r.text for r in rows] == ['24" wheels', '5" rim', "plain", 'quoted "x"']
 
 
 def test_other_header_raises(spark, tmp_path):
@@ -105,6 +80,7 @@ def test_cleaned_table_positions():
 def test_inventory(spark, sf_dir, tmp_path):
     df = spark.read.parquet(f"{sf_dir}/orders.parquet")
     df.repartition(3).write.parquet(str(tmp_path / "o"))
+    df.limit(0).coalesce(1).write.mode("append").parquet(str(tmp_path / "o"))
     rows = input_inventory(spark, str(tmp_path / "o")).collect()
     sizes = {f.name: f.stat().st_size for f in (tmp_path / "o").glob("part-*")}
     assert sum(r.n_rows for r in rows) == df.count()

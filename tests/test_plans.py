@@ -6,9 +6,10 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from lotwise.operators.models import valid_listings
+from workload import all_queries
 
-QUERIES = queries()
+QUERIES = all_queries()
 
 
 def plan(df) -> str:
@@ -25,8 +26,8 @@ def test_no_python_workers_and_no_cross_joins(name, spark, sf_dir):
 @pytest.mark.parametrize(
     ("name", "columns"),
     [
-        ("model_stats", {"l_partkey", "l_extendedprice", "l_shipdate"}),
-        ("band_grid", {"l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate"}),
+        ("model_stats", {"l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate"}),
+        ("band_grid", {"l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate"}),
         ("duplicate_report", {"o_custkey"}),
         ("band_profile", {"doc_id", "lang", "source", "n_chars", "text"}),
     ],
@@ -39,7 +40,15 @@ def test_scans_read_only_the_needed_columns(name, columns, spark, sf_dir):
 
 
 def test_price_filter_reaches_the_scan(spark, sf_dir):
-    assert "GreaterThan(l_extendedprice,0.0)" in plan(QUERIES["model_stats"](spark, sf_dir))
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    valid = valid_listings(parts, ["p_brand"], "p_retailprice", "p_size")
+    assert "GreaterThan(p_retailprice,0.0)" in plan(valid)
+
+
+def test_samples_and_stop_words_take_one_scan(spark, sf_dir):
+    assert plan(QUERIES["bernoulli_sample"](spark, sf_dir)).count("FileScan") == 1
+    words = plan(QUERIES["stopword_filter"](spark, sf_dir))
+    assert "BroadcastHashJoin" in words and "SortMergeJoin" not in words
 
 
 @pytest.mark.parametrize("name", ["top_words", "band_profile", "model_cities", "dedupe_latest"])

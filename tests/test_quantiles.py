@@ -44,3 +44,15 @@ def test_gaps_are_left_out(spark):
     )
     rows = medians(df, ["a", "b", "c"]).collect()
     assert [tuple(r) for r in rows] == [(2.0, None, 2.0)]
+
+
+def test_infinite_and_tiny_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(inf, 1e-12 * i) for i in range(1, 6)], "a double, b double")
+    assert tuple(medians(df, ["a", "b"]).first()) == (inf, 3e-12)
+
+
+def test_approximate_median_takes_one_scan(spark):
+    df = spark.range(1001).selectExpr("CAST(id AS DOUBLE) AS a")
+    approximate = medians(df, ["a"], accuracy=1000)
+    assert abs(approximate.first().a - 500) <= 2

@@ -142,3 +142,18 @@ def test_stop_lists():
         "default": 177, "domain": 194, "short": 116, "minimal": 15, "none": 0,
     }
     assert len(STOP_WORDS) == len(set(STOP_WORDS))
+
+
+@pytest.mark.parametrize(
+    "text, items",
+    [
+        ("['A', None]", ["A", None]),
+        ("[None]", [None]),
+        ("['a, None, b', 'None']", ["a, None, b", "None"]),
+        ("[]", []),
+    ],
+)
+def test_bare_none_is_a_null_element(one, text, items):
+    from lotwise.functions.scalars import parse_list
+
+    assert one(parse_list, text) == items

@@ -74,7 +74,10 @@ def fill_constant(spark, sf):
 
 
 def dedupe_latest(spark, sf):
-    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    no_key = F.col("o_orderkey") % 11 == 0
+    orders = table(spark, sf, "orders").select(
+        F.when(~no_key, F.col("o_custkey")).alias("o_custkey"), "o_orderkey", "o_orderdate", "o_totalprice"
+    )
     return C.dedupe_latest(orders, "o_custkey", "o_orderdate", ["o_orderkey"]).drop("o_orderdate")
 
 
@@ -103,7 +106,7 @@ def unify_columns(spark, sf):
 
 
 def clean_listings(spark, sf):
-    config = clean.CleanConfig(never_median=("vin", "price"), never_mode=("description",))
+    config = clean.CleanConfig()
     cleaned = clean.clean_listings(dirty_listings(spark, sf), config, work_folder(spark))
     options = F.array_join("major_options_list", "|").alias("major_options_list")
     return cleaned.select(*[options if c == "major_options_list" else c for c in cleaned.columns])
@@ -157,7 +160,14 @@ def _median(column, relation="X"):
     return f"(SELECT quantile_cont(CAST({column} AS DOUBLE), 0.5) FROM {relation})"
 
 
-OPTIONS = "CASE WHEN major_options LIKE '[%' THEN replace(trim(major_options, '[]'), '''', '') ELSE '' END"
+OPTIONS = (
+    "CASE WHEN major_options LIKE '[%' "
+    "THEN replace(replace(trim(major_options, '[]'), '''', ''), ', None', '') ELSE '' END"
+)
+N_OPTIONS = (
+    "CASE WHEN major_options NOT LIKE '[%' OR major_options = '[]' THEN 0 "
+    "ELSE CAST(len(string_split(major_options, ', ')) AS INT) END"
+)
 
 CLEAN_SQL = f"""{X_SQL}, R AS (SELECT vin, nullif(lower(trim(make_name)), '') AS make_name,
   TRY_CAST(replace(nullif(back_legroom, '--'), ' in', '') AS DOUBLE) AS back_legroom, power,
@@ -168,11 +178,11 @@ CLEAN_SQL = f"""{X_SQL}, R AS (SELECT vin, nullif(lower(trim(make_name)), '') AS
   exterior_color, listing_color, major_options, TRY_CAST(listed_date AS DATE) AS listed_date, description,
   TRY_CAST(price AS DOUBLE) AS price, CAST(TRY_CAST(year AS DOUBLE) AS INT) AS year,
   replace({OPTIONS}, ', ', '|') AS major_options_list,
-  CASE WHEN major_options LIKE '[%' THEN 2 ELSE 0 END AS num_major_options,
+  {N_OPTIONS} AS num_major_options,
   TRY_CAST(nullif(regexp_extract(power, '(\\d+)', 1), '') AS DOUBLE) AS horsepower_extracted,
   TRY_CAST(replace(nullif(regexp_extract(power, '@\\s*(\\d[\\d,]*)\\s*RPM', 1), ''), ',', '') AS DOUBLE) AS horsepower_rpm,
   TRY_CAST(nullif(regexp_extract(engine_cylinders, '(\\d+)', 1), '') AS DOUBLE) AS cylinders,
-  trim(replace(description, '[!@@Additional Info@@!]', '')) AS description_cleaned FROM X),
+  trim(coalesce(replace(description, '[!@@Additional Info@@!]', ''), '')) AS description_cleaned FROM X),
 Q AS (SELECT *, CAST(year(listed_date) AS DOUBLE) AS listed_year, CAST(month(listed_date) AS DOUBLE) AS listed_month,
   CAST(day(listed_date) AS DOUBLE) AS listed_day, CAST(isodow(listed_date) - 1 AS DOUBLE) AS listed_dayofweek,
   CASE WHEN listing_color <> '' THEN listing_color WHEN exterior_color <> '' THEN exterior_color
@@ -184,6 +194,7 @@ GAP_NUMBERS = (
 ).split()
 GAP_MODES = "power engine_cylinders franchise_make major_options".split()
 GAP_COLORS = "exterior_color listing_color".split()
+GAP_TEXTS = "description description_cleaned".split()
 
 CLEAN_SELECT = ", ".join(
     "vin make_name franchise_dealer listed_date description price year major_options_list "
@@ -192,7 +203,7 @@ CLEAN_SELECT = ", ".join(
     + [f"coalesce(nullif({c}, ''), {_mode(c, 'Q')}) AS {c}" for c in GAP_MODES]
     + [f"coalesce(nullif({c}, ''), 'Unknown') AS {c}" for c in GAP_COLORS]
     + [f"CAST({c} IS NULL AS INT) AS {c}_missing" for c in GAP_NUMBERS]
-    + [f"CAST(coalesce({c}, '') = '' AS INT) AS {c}_missing" for c in GAP_MODES + GAP_COLORS]
+    + [f"CAST(coalesce({c}, '') = '' AS INT) AS {c}_missing" for c in GAP_MODES + GAP_COLORS + GAP_TEXTS]
 )
 
 ORACLES = {
@@ -202,13 +213,14 @@ ORACLES = {
     ),
     "parse_boolean": _x("SELECT vin, coalesce(franchise_dealer = 'True', false) AS franchise_dealer FROM X"),
     "parse_list": _x(f"SELECT vin, replace({OPTIONS}, ', ', '|') AS options FROM X"),
-    "list_length": _x("SELECT vin, CASE WHEN major_options LIKE '[%' THEN 2 ELSE 0 END AS n_options FROM X"),
+    "list_length": _x(f"SELECT vin, {N_OPTIONS} AS n_options FROM X"),
     "extraction_pairs": _x(
         """SELECT DISTINCT engine_cylinders, CAST(regexp_extract(engine_cylinders, '(\\d+)', 1) AS INT) AS extracted
         FROM X WHERE engine_cylinders IS NOT NULL ORDER BY 1 LIMIT 5"""
     ),
     "option_counts": """SELECT item, count(*) AS n FROM (
-        SELECT unnest([p_type, p_brand]) AS item FROM part WHERE p_partkey % 9 > 1) GROUP BY 1""",
+        SELECT unnest(CASE p_partkey % 9 WHEN 2 THEN [] WHEN 3 THEN [p_type] WHEN 4 THEN [p_type, NULL, p_brand]
+                      ELSE [p_type, p_brand] END) AS item FROM part WHERE p_partkey % 9 > 1) GROUP BY 1""",
     "first_number": _x(
         "SELECT vin, TRY_CAST(nullif(regexp_extract(power, '(\\d+)', 1), '') AS DOUBLE) AS horsepower FROM X"
     ),
@@ -227,7 +239,7 @@ ORACLES = {
         CAST(month(o_orderdate) AS INT) AS order_month, CAST(day(o_orderdate) AS INT) AS order_day,
         CAST(isodow(o_orderdate) - 1 AS INT) AS order_dayofweek FROM orders""",
     "strip_tags": _x(
-        "SELECT vin, trim(regexp_replace(description, '\\[!@@.*?@@!\\]', '', 'g')) AS description FROM X"
+        "SELECT vin, trim(regexp_replace(coalesce(description, ''), '\\[!@@.*?@@!\\]', '', 'g')) AS description FROM X"
     ),
     "missing_flags": _x(
         """SELECT vin, CAST(power IS NULL AS INT) AS power_missing,
@@ -247,7 +259,8 @@ ORACLES = {
     ),
     "dedupe_latest": """SELECT o_custkey, o_orderkey, o_totalprice FROM (
         SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey) AS i
-        FROM orders) WHERE i = 1""",
+        FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS o_custkey) FROM orders))
+        WHERE i = 1 OR o_custkey IS NULL""",
     "count_inconsistent": _x(
         """SELECT count(*) AS inconsistent FROM X
         WHERE franchise_dealer = 'True' AND coalesce(franchise_make, '') = ''"""

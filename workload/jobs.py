@@ -132,9 +132,10 @@ def tokenize_plain(spark, sf):
 
 
 def stopword_filter(spark, sf):
-    stop = spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
-    words = bands.word_counts(text_d(spark, sf), ["city"], "text", stop=[])
-    return bands.drop_stopwords(words, stop).select("city", "word", "n")
+    listed = F.explode(F.array(*[F.lit(w) for w in STOP_WORDS]))
+    stop = spark.range(1).select(listed.alias("word"))
+    words = bands.drop_stopwords(bands.word_stream(text_d(spark, sf), ["city"], "text", stop=[]), stop)
+    return words.groupBy("city", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_counts(spark, sf):
@@ -207,7 +208,7 @@ LISTING_OK = "price > 0 AND NOT isnan(price) AND year BETWEEN 1900 AND 2025 AND
 MARKET_OK = "city <> '' AND price > 0 AND NOT isnan(price) AND daysonmarket >= 0 AND year BETWEEN 1900 AND 2025"
 BAND = "CASE WHEN price < 20000 THEN 'basso' WHEN price <= 50000 THEN 'medio' ELSE 'alto' END"
 ALT_BAND = "CASE WHEN price < 15000 THEN 'basso' WHEN price < 35000 THEN 'medio' ELSE 'alto' END"
-AVG_PRICE = "CAST(sum(CAST(price AS DECIMAL(24, 4))) AS DOUBLE) / count(*)"
+AVG_PRICE = "avg(price)"
 
 STATS = f"""{L_SQL}, V AS (SELECT * FROM L WHERE {LISTING_OK}),
 S AS (SELECT make_name, model_name, count(*) AS n, min(price) AS min_price, max(price) AS max_price,

@@ -22,7 +22,7 @@ from workload.jobs import BAND, LISTING_OK, MARKET_OK, ORACLES as JOB_ORACLES
 from workload.views import D_SQL, L_SQL, listings, table, text_listings
 
 KEY = ["l_orderkey", "l_linenumber"]
-FRACTIONS = [0.01, 0.05, 0.1, 0.5, 1.0]
+FRACTIONS = [0.0005, 0.01, 0.05, 0.1, 0.5, 1.0]
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -37,14 +37,6 @@ def csv_source(spark, sf):
     return typed_text_listings(read_listings_csv(spark, path, wanted))
 
 
-def csv_source_in_splits(spark, sf):
-    """The same with files taken as too large for one task."""
-    path = shared_path(spark, "csv", work_folder(spark))
-    write_table(text_listings(spark, sf), path, "csv")
-    good, _ = split_bad_rows(read_flagged_csv(spark, path, whole_file_bytes=0))
-    return typed_text_listings(good)
-
-
 def typed_text_listings(raw):
     return raw.select(
         F.col("doc_id").try_cast("bigint").alias("doc_id"),
@@ -95,18 +87,13 @@ def head_sample(spark, sf):
 
 def bernoulli_sample(spark, sf):
     """Sizes of the samples against the law of large numbers, over all rows."""
-    rows = listings(spark, sf, *KEY, "price")
-    sizes = None
-    for fraction in FRACTIONS:
-        sample = sampling.bernoulli_sample(rows, fraction, seed=42)
-        one = sample.agg(F.count(F.lit(1)).alias("n")).withColumn("fraction", F.lit(fraction))
-        sizes = one if sizes is None else sizes.unionByName(one)
-    total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
-    spread = F.sqrt(total * F.col("fraction") * (1 - F.col("fraction")))
+    sizes = sampling.bernoulli_sizes(listings(spark, sf, *KEY, "price"), FRACTIONS)
+    share = F.col("total_rows") * F.col("fraction")
     return sizes.select(
         "fraction",
-        total.alias("total_rows"),
-        (F.abs(F.col("n") - total * F.col("fraction")) <= 6 * spread + 0.5).alias("plausible"),
+        "total_rows",
+        (F.abs(F.col("n") - share) <= 6 * F.sqrt(share * (1 - F.col("fraction"))) + 0.5).alias("plausible"),
+        (F.col("n") == F.col("total_rows")).alias("keeps_all"),
     )
 
 
@@ -144,11 +131,9 @@ def funnel(spark, sf):
 
 
 def inventory(spark, sf):
-    found = None
-    for name in TABLES:
-        one = input_inventory(spark, f"{sf}/{name}.parquet")
-        found = one if found is None else found.unionByName(one)
-    return found
+    """Every file of the given tables; sizes differ between stores, so only their presence."""
+    found = input_inventory(spark, [f"{sf}/{name}.parquet" for name in TABLES])
+    return found.select("file_name", "n_rows", (F.col("size_mb") > 0).alias("has_bytes"))
 
 
 def read_json(spark, sf):
@@ -198,7 +183,6 @@ def report_log(spark, sf):
 
 QUERIES = {
     "csv_source": csv_source,
-    "csv_source_in_splits": csv_source_in_splits,
     "csv_bad_rows": csv_bad_rows,
     "require_columns": require_columns,
     "project_job_columns": project_job_columns,
@@ -215,13 +199,12 @@ QUERIES = {
     "parse_report_log": report_log,
 }
 
-BUCKET = "CAST('0x' || substr(md5(concat(l_orderkey, '|', l_linenumber)), 1, 8) AS BIGINT) % 1000"
+KEY_HASH = "CAST('0x' || substr(md5(concat(l_orderkey, '|', l_linenumber)), 1, 8) AS BIGINT)"
 
 D_TYPED = f"WITH {D_SQL} SELECT doc_id, city, year, price, daysonmarket, description FROM D"
 
 ORACLES = {
     "csv_source": D_TYPED,
-    "csv_source_in_splits": D_TYPED,
     "csv_bad_rows": """SELECT CASE WHEN l_orderkey % 10 IN (0, 1) THEN 'bad' ELSE 'good' END AS outcome,
         CAST(l_linenumber AS VARCHAR) AS linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2""",
     "require_columns": "SELECT p_partkey, p_size FROM part",
@@ -229,11 +212,15 @@ ORACLES = {
     "head_sample": f"""WITH {L_SQL} SELECT l_orderkey, l_linenumber, price FROM L
         ORDER BY l_orderkey, l_linenumber, price LIMIT 100""",
     "bernoulli_sample": """SELECT CAST(f AS DOUBLE) AS fraction, (SELECT count(*) FROM lineitem) AS total_rows,
-        true AS plausible FROM (VALUES (0.01), (0.05), (0.1), (0.5), (1.0)) x(f)""",
-    "hash_sample": f"""WITH {L_SQL} SELECT l_orderkey, l_linenumber, price FROM L WHERE {BUCKET} < 100""",
-    "nested_samples": f"""WITH B AS (SELECT {BUCKET} AS b FROM lineitem)
-        SELECT CAST(f AS DOUBLE) AS fraction, count(*) FILTER (b < f * 1000) AS n
-        FROM B CROSS JOIN (VALUES (0.01), (0.05), (0.1), (0.5), (1.0)) x(f) GROUP BY 1""",
+        true AS plausible, f >= 1 AS keeps_all FROM (VALUES (0.0005), (0.01), (0.05), (0.1), (0.5), (1.0)) x(f)""",
+    "hash_sample": f"""WITH {L_SQL} SELECT l_orderkey, l_linenumber, price FROM L WHERE {KEY_HASH} < 0.1 * 4294967296""",
+    "nested_samples": f"""WITH B AS (SELECT {KEY_HASH} AS h FROM lineitem)
+        SELECT CAST(f AS DOUBLE) AS fraction, count(*) FILTER (h < f * 4294967296) AS n
+        FROM B CROSS JOIN (VALUES (0.0005), (0.01), (0.05), (0.1), (0.5), (1.0)) x(f) GROUP BY 1""",
+    "input_inventory": " UNION ALL ".join(
+        f"SELECT '{name}.parquet' AS file_name, count(*) AS n_rows, true AS has_bytes FROM {name}"
+        for name in TABLES
+    ),
     "text_sink": f"SELECT line FROM ({JOB_ORACLES['make_report']})",
     "table_sink": f"WITH {L_SQL} SELECT l_orderkey, l_linenumber, price, year FROM L",
     "preview": f"SELECT * FROM ({JOB_ORACLES['make_report']}) ORDER BY make_name LIMIT 10",

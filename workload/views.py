@@ -12,6 +12,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- L: numeric listings, one per line item -------------------------------------------------
 
+# Prices are multiples of 1/64: six decimals, yet sums and means of them are exact.
+
 LISTING_COLUMNS = (
     "l_orderkey l_linenumber make_name model_name city price year daysonmarket".split()
 )
@@ -34,7 +36,7 @@ def listings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         "make_name": "p_brand",
         "model_name": "p_type",
         "city": "n_name",
-        "price": "l_extendedprice",
+        "price": "floor(l_extendedprice) + l_linenumber / 64D",
         "year": "year(l_shipdate)",
         "daysonmarket": "datediff(l_shipdate, o_orderdate)",
     }
@@ -43,7 +45,7 @@ def listings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 L_SQL = """L AS (
   SELECT l.l_orderkey, l.l_linenumber, p.p_brand AS make_name, p.p_type AS model_name,
-         n.n_name AS city, l.l_extendedprice AS price, CAST(year(l.l_shipdate) AS INT) AS year,
+         n.n_name AS city, floor(l.l_extendedprice) + l.l_linenumber / 64::DOUBLE AS price, CAST(year(l.l_shipdate) AS INT) AS year,
          CAST(datediff('day', o.o_orderdate, l.l_shipdate) AS INT) AS daysonmarket
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -95,10 +97,13 @@ _X_COLUMNS = {
     "listing_color": "CASE WHEN p_partkey % 4 = 1 THEN NULL WHEN p_partkey % 4 = 2 THEN '' "
     "ELSE 'BLUE' END",
     "major_options": "CASE WHEN p_partkey % 9 = 0 THEN '' WHEN p_partkey % 9 = 1 THEN 'oops' "
+    "WHEN p_partkey % 9 = 2 THEN '[]' WHEN p_partkey % 9 = 3 THEN concat('[', chr(39), p_type, chr(39), ']') "
+    "WHEN p_partkey % 9 = 4 THEN concat('[', chr(39), p_type, chr(39), ', None, ', chr(39), p_brand, chr(39), ']') "
     "ELSE concat('[', chr(39), p_type, chr(39), ', ', chr(39), p_brand, chr(39), ']') END",
     "listed_date": "CASE WHEN p_partkey % 8 = 0 THEN 'bad' ELSE concat('2020-09-', "
     "CAST(10 + p_size % 20 AS VARCHAR(9))) END",
-    "description": "concat(p_name, ' [!@@Additional Info@@!] ', p_type)",
+    "description": "CASE WHEN p_partkey % 15 = 0 THEN NULL WHEN p_partkey % 15 = 1 THEN '' "
+    "ELSE concat(p_name, ' [!@@Additional Info@@!] ', p_type) END",
     "owner_count": "CASE WHEN p_partkey % 5 = 0 THEN p_size ELSE NULL END",
     "price": "CASE WHEN p_partkey % 10 = 0 THEN 'n/a' WHEN p_partkey % 10 = 1 THEN '' "
     "ELSE CAST(p_retailprice AS VARCHAR(32)) END",
