@@ -16,6 +16,7 @@ def local_session(cpus: str | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lotwise-test-"))
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
