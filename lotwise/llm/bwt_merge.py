@@ -41,8 +41,10 @@ from workload.folders import work_folder
 BYTES = 100
 #: Spans of one seed that meet in a bucket at most, and bytes of a bucket that are merged at once.
 BUCKET_SPANS = 4096
-BUCKET_BYTES = 1 << 19
-SHARDS = 4
+BUCKET_BYTES = 1 << 17
+SHARDS = 2
+#: Rounds of a merge between looks at whether it is done.
+LOOK_EVERY = 10
 
 
 def byte_windows(raw: bytes, n: int) -> Windows:
@@ -110,11 +112,12 @@ class Shard:
     def __init__(self, members: list[bytes]):
         sizes = np.fromiter(map(len, members), np.int64, len(members))
         self.begins = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
-        text = np.zeros(int(sizes.sum()) + len(members), np.uint16)
+        # The byte 255 is no part of UTF-8, so 0 is free for the terminators.
+        text = np.zeros(int(sizes.sum()) + len(members), np.uint8)
         ends = self.begins + sizes
         inside = np.ones(len(text), bool)
         inside[ends] = False
-        text[inside] = np.frombuffer(b"".join(members), np.uint8).astype(np.uint16) + 1
+        text[inside] = np.frombuffer(b"".join(members), np.uint8) + 1
         self.order = suffix_order(text, ends)
         self.members = len(members)
         # The symbol before the start of a member is its terminator.
@@ -136,9 +139,9 @@ def merged(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray]:
     stops = np.repeat(np.arange(len(shards)), [s.members for s in shards]).astype(np.uint8)
     interleave = np.repeat(np.arange(len(shards)), sizes).astype(np.uint8)
     block = np.zeros(total, np.int32)
-    symbols = np.empty(total, np.uint16)
+    symbols = np.empty(total, np.uint8)
     border = np.zeros(total, bool)
-    for _ in range(rounds):
+    for done in range(1, rounds + 1):
         for i, shard in enumerate(shards):
             symbols[interleave == i] = shard.transform
         order = np.argsort(symbols, kind="stable")
@@ -148,8 +151,8 @@ def merged(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray]:
         nxt = interleave[order]
         nxt[: len(stops)] = stops  # terminators stand in shard order and are all different
         border[: len(stops) + 1] = True
-        fresh = np.cumsum(border, dtype=np.int32) - 1
-        if np.array_equal(nxt, interleave) and np.array_equal(fresh, block):
+        fresh = np.cumsum(border, dtype=np.int32)
+        if done % LOOK_EVERY == 0 and np.array_equal(nxt, interleave) and np.array_equal(fresh, block):
             break  # no further round changes anything
         interleave, block = nxt, fresh
     return interleave, border
