@@ -252,7 +252,9 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return [xxhash.xxh3_64_intdigest(rows[i].tobytes(), i) for i in range(BANDS)]
 
 
-def similar_candidates(whole: DataFrame, tree_size: int = TREE_SIZE) -> DataFrame:
+def similar_candidates(
+    whole: DataFrame, folder: str | None = None, tree_size: int = TREE_SIZE
+) -> DataFrame:
     """(a, b): for each text (th, z) and bucket the texts with the nearest fingerprints there.
 
     Buckets are those of equal least shingle hashes, cut into shards with a BK-tree each. A
@@ -276,15 +278,14 @@ def similar_candidates(whole: DataFrame, tree_size: int = TREE_SIZE) -> DataFram
                 ["th", "fp", "keys"],
             )
 
-    signed_rows = map_batches(whole.select("th", "z"), sign, "th long, fp long, keys array<long>")
+    signs = map_batches(whole.select("th", "z"), sign, "th long, fp long, keys array<long>")
+    members = stored(signs, "signatures", folder).select("th", "fp", F.explode("keys").alias("bucket"))
     # Texts of one fingerprint are linked to the first of them and to the rest through it.
-    members = signed_rows.select("th", "fp", F.explode("keys").alias("bucket"))
-    same = members.groupBy("bucket", "fp").agg(F.min("th").alias("first"), F.collect_set("th").alias("all"))
-    sizes = same.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.size("all")).alias("texts")
-    ).where("texts > 1")
+    same = members.groupBy("bucket", "fp").agg(F.min("th").alias("first"), F.count("th").alias("texts"))
+    twins = same.where("texts > 1").select("bucket", "fp", F.col("first").alias("a"))
+    stars = members.join(twins, ["bucket", "fp"]).select("a", F.col("th").alias("b")).where("a <> b")
+    sizes = same.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     same = same.join(sizes, "bucket").withColumn("shards", F.ceil(F.col("n") / tree_size))
-    stars = same.select(F.col("first").alias("a"), F.explode("all").alias("b")).where("a <> b")
     shard = F.pmod(F.xxhash64("fp"), F.col("shards"))
     held = same.select("bucket", shard.alias("shard"), F.lit(0).alias("asks"), "fp", "first")
     asked = same.select(
@@ -330,7 +331,7 @@ def similar_groups(
     """
     rows = with_text_hash(texts(docs)).withColumn("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
     texts_ = stored(pressed(rows).groupBy("th").agg(F.first("z").alias("z")), "texts", folder)
-    pairs = stored(similar_candidates(texts_), "candidates", folder)
+    pairs = stored(similar_candidates(texts_, folder), "candidates", folder)
     left = pairs.join(texts_.select(F.col("th").alias("a"), F.col("z").alias("za")), "a")
     both = left.join(texts_.select(F.col("th").alias("b"), F.col("z").alias("zb")), "b")
 
