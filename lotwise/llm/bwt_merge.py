@@ -349,5 +349,23 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+_LEADS = " || ".join(
+    ["s"] + [f"coalesce(lead(s, {10 * k}) OVER w, '')" for k in range(1, 10)]
+)
+
+# Bytes as pairs of hex digits; the hundred from a byte on are ten runs of ten.
+ORACLE = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, unnest(regexp_extract_all(h, '..')) AS b, unnest(range(0, length(h) // 2)) AS pos, length(h) // 2 AS n FROM d),
+u AS (SELECT doc_id, pos, n, b, string_agg(b, '') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS s FROM p),
+m AS (SELECT doc_id, pos, b, CASE WHEN pos + 100 <= n THEN md5({_LEADS}) END AS m FROM u WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+t AS (SELECT doc_id, pos, b, m IS NOT NULL AND row_number() OVER (PARTITION BY m ORDER BY doc_id, pos) > 1 AS again FROM m),
+g AS (SELECT doc_id, pos, b, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM t),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS starts FROM g),
+k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans,
+             string_agg(b, '' ORDER BY pos) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
 QUERIES = {"op10_bwt_merge": query}
-ORACLES = {}
+ORACLES = {"op10_bwt_merge": ORACLE}

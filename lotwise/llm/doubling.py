@@ -246,5 +246,18 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLE = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS pos, len(w) AS n FROM d),
+s AS (SELECT r, pos, word, CASE WHEN pos + 34 <= n THEN
+        md5(string_agg(word, ' ') OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) END AS h
+      FROM p),
+t AS (SELECT r, pos, word, h IS NOT NULL AND count(*) OVER (PARTITION BY h) > 1 AS again FROM s),
+g AS (SELECT r, pos, word, bool_or(again) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM t),
+k AS (SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM g GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)"""
+
 QUERIES = {"op4_doubling": query}
-ORACLES = {}
+ORACLES = {"op4_doubling": ORACLE}

@@ -66,7 +66,7 @@ def likeness(a: Column, b: Column) -> Column:
     """Share of the leaves of two fingerprints that both have; 1 for equal roots."""
     x, y = leaves(a), leaves(b)
     both = F.size(F.array_intersect(x, y)).cast("double")
-    share = both / (F.size(x) + F.size(y) - both)
+    share = F.try_divide(both, F.size(x) + F.size(y) - both)
     return F.when(root(a) == root(b), 1.0).otherwise(F.coalesce(share, F.lit(0.0)))
 
 
@@ -159,5 +159,43 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sql_print(text: str) -> str:
+    """The fingerprint of a text as a DuckDB expression."""
+
+    def joined(items: str, by: str) -> str:
+        return f"coalesce(array_to_string({items}, '{by}'), '')"
+
+    def head(items: str, by: str) -> str:
+        return f"list_transform({items}, lambda h: split_part(h, '{by}', 1))"
+
+    leaves_ = f"list_transform(regexp_extract_all(l, '{BLOCK}'), lambda b: md5(b)[1:8])"
+    paragraph = f"concat(md5({joined(leaves_, ',')})[1:16], ',', {joined(leaves_, ',')})"
+    lines = "list_filter(string_split(s, chr(10)), lambda l: l <> '')"
+    made = f"list_transform({lines}, lambda l: {paragraph})"
+    section = f"concat(md5({joined(head(made, ','), ',')})[1:16], '=', {joined(made, ';')})"
+    sections = f"list_transform(string_split({text}, concat(chr(10), chr(10))), lambda s: {section})"
+    layout = f"md5(regexp_replace({text}, '[^\\n]+', 'x', 'g'))"
+    return f"concat(md5(concat({layout}, ',', {joined(head(sections, '='), ',')})), ':', {joined(sections, '|')})"
+
+
+def _sql_likeness(a: str, b: str) -> str:
+    x, y = (f"list_distinct(regexp_extract_all({p}, ',([0-9a-f]{{8}})', 1))" for p in (a, b))
+    both = f"len(list_intersect({x}, {y}))"
+    return f"""CASE WHEN split_part({a}, ':', 1) = split_part({b}, ':', 1) THEN 1.0::DOUBLE
+        ELSE coalesce({both}::DOUBLE / nullif(len({x}) + len({y}) - {both}, 0), 0) END"""
+
+
+ORACLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), (SELECT arg_min(text, doc_id) FROM d)) AS nxt FROM d),
+e AS (SELECT *, concat(substr(text, 1, length(text) - length(text) // 2), substr(nxt, 1, length(text) // 2)) AS edited
+      FROM n),
+f AS (SELECT doc_id, text, edited, {_sql_print('text')} AS fingerprint,
+             {_sql_print('edited')} AS edited_fingerprint, {_sql_print('nxt')} AS following FROM e)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+       {_sql_likeness('fingerprint', 'edited_fingerprint')} AS near_edited,
+       {_sql_likeness('fingerprint', 'following')} AS near_next
+FROM f"""
+
 QUERIES = {"op8_merkle_prints": query}
-ORACLES = {}
+ORACLES = {"op8_merkle_prints": ORACLE}

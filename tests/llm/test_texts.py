@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.llm import chat, decontaminate, line_spread, merkle, quality
-from tests.compare import first_difference, spark_table, sql_table
 
 
 def value(spark, column):
@@ -68,21 +67,9 @@ def test_wide_lines_go(spark, tmp_path):
     assert untouched[200] is None
 
 
-def test_line_query_equals_sql(spark, sf_dir, duck):
-    got = spark_table(line_spread.query(spark, sf_dir))
-    want = sql_table(duck, line_spread.ORACLE)
-    assert got == want, first_difference(got, want)
-
-
 # --- Chat ------------------------------------------------------------------------------------
 
 
-def test_chat_query_equals_sql(spark, sf_dir, duck):
-    got = spark_table(chat.query(spark, sf_dir))
-    want = sql_table(duck, chat.ORACLE)
-    assert got == want, first_difference(got, want)
-
-
 def test_turns_are_read_back(spark):
     rng = random.Random(4)
     bits = [*chat.INSTRUCT.controls, "&#", "&#38;#", "&#60;", "&", "<", "[", "/s>", " ", "\n", "text", "é漢"]
