@@ -22,13 +22,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import map_batches, ship, slices, table, texts
+from lotwise.llm.common import map_batches, mixed, ship, slices, table, texts
 
 #: Rows of the table of vectors for each stream, and entries of a vector.
 ROWS = 8192
@@ -41,11 +40,10 @@ TRAIN_ROWS = 20_000
 HIDDEN = 32
 EPOCHS = 40
 THRESHOLD = 0.7
+#: Bytes of text whose words are in memory as numbers at a time.
+SLICE = 1_000_000
 #: A neighbour that repeats the token itself counts as this row, one past both streams.
 SAME = 2 * ROWS
-SLICE = 500_000
-_UPPER, _LOWER = regex.compile(r"\p{Lu}+"), regex.compile(r"\p{Ll}+")
-_DIGIT, _RUN = regex.compile(r"\p{N}+"), regex.compile(r"([^\p{L}\p{N}])\1+")
 
 
 @functools.cache
@@ -56,22 +54,54 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, rng.choice([-1.0, 1.0], (2 * ROWS + 1, NONZERO))
 
 
-def shape(word: str) -> str:
-    return _RUN.sub(r"\1", _DIGIT.sub("0", _LOWER.sub("a", _UPPER.sub("A", word))))[:8]
+def _classes() -> np.ndarray:
+    """For each byte the letter that stands for it in a shape."""
+    out = np.arange(256, dtype=np.uint8)
+    out[ord("A") : ord("Z") + 1], out[ord("a") : ord("z") + 1] = ord("A"), ord("a")
+    out[ord("0") : ord("9") + 1], out[128:] = ord("0"), ord("a")
+    return out
+
+
+CLASSES = _classes()
+
+
+def shapes(words: pa.LargeStringArray) -> np.ndarray:
+    """The first eight letters of each word's shape, as one number.
+
+    A shape has one letter for each run of capitals, of other letters, of digits, or of one
+    and the same sign.
+    """
+    raw = [x.encode() for x in words.to_pylist()]
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    begins = np.cumsum(sizes) - sizes
+    kinds = CLASSES[np.frombuffer(b"".join(raw), np.uint8)]
+    own = np.repeat(np.arange(len(raw)), sizes)
+    starts = np.ones(len(kinds), bool)
+    starts[1:] = (kinds[1:] != kinds[:-1]) | (own[1:] != own[:-1])
+    before = np.cumsum(starts)
+    place = before - 1 - (before[begins] - 1)[own] if len(kinds) else before
+    keep = starts & (place < 8)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[own[keep], place[keep]] = kinds[keep]
+    return out.view(np.uint64).ravel()
+
+
+def rows_of(words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of each word, row of its shape, and its length. Words are distinct, not empty."""
+    word = np.array([xxhash.xxh32_intdigest(w) for w in words.to_pylist()], np.int64) % ROWS
+    form = ROWS + (mixed(shapes(words)) % np.uint64(ROWS)).astype(np.int64)
+    return word, form, pc.utf8_length(words).to_numpy().astype(np.int64)
 
 
 def streams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rows of all words and of all shapes, their documents, their codes and lengths."""
     lists = pc.ascii_split_whitespace(column.cast(pa.large_string()))
-    coded = lists.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy()
-    names = coded.dictionary.to_pylist()
-    word = np.array([xxhash.xxh32_intdigest(w) % ROWS for w in names], np.int64)
-    form = np.array([ROWS + xxhash.xxh32_intdigest(shape(w), 1) % ROWS for w in names], np.int64)
-    size = np.array([len(w) for w in names], np.int64)
+    parts = lists.flatten()
     doc = np.repeat(np.arange(len(column)), np.diff(lists.offsets.to_numpy()))
-    real = size[codes] > 0 if len(codes) else np.zeros(0, bool)
-    codes, doc = codes[real], doc[real]
+    real = pc.not_equal(parts, "")
+    coded, doc = parts.filter(real).dictionary_encode(), doc[real.to_numpy(zero_copy_only=False)]
+    codes = coded.indices.to_numpy()
+    word, form, size = rows_of(coded.dictionary)
     return word[codes], form[codes], doc, codes, size[codes]
 
 
@@ -103,7 +133,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * ROWS * DIMS, np.int64)
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit=SLICE):
                 total += cooccurrence(piece.column("text"))
         yield _block_rows(list(enumerate(total.reshape(BLOCKS, -1))))
 
@@ -148,10 +178,10 @@ def features(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     out = np.zeros((n, 2 * DIMS + 4), np.float32)
     some = np.flatnonzero(counts > 0)
     if len(some):
-        begins = np.concatenate([[0], np.cumsum(counts[some])[:-1]]).astype(np.int64)
-        share = counts[some, None]
-        out[some, :DIMS] = np.add.reduceat(vectors[words], begins, axis=0) / share
-        out[some, DIMS : 2 * DIMS] = np.add.reduceat(vectors[forms], begins, axis=0) / share
+        ends = np.cumsum(counts[some]).astype(np.int64).tolist()
+        for i, a, b in zip(some.tolist(), [0, *ends], ends):
+            out[i, :DIMS] = vectors.take(words[a:b], axis=0).sum(axis=0) / (b - a)
+            out[i, DIMS : 2 * DIMS] = vectors.take(forms[a:b], axis=0).sum(axis=0) / (b - a)
         again = np.zeros(len(doc), bool)
         again[1:] = (codes[1:] == codes[:-1]) & (doc[1:] == doc[:-1])
         pairs = np.unique(doc.astype(np.int64) << 32 | codes)
