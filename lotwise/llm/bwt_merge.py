@@ -48,7 +48,7 @@ LOOK_EVERY = 10
 
 
 def byte_windows(raw: bytes, n: int) -> Windows:
-    return windows(mixed(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)), Levels(n))
+    return windows(mixed(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)), Levels(n), extend=False)
 
 
 def spans_of(docs: DataFrame, n: int) -> DataFrame:
@@ -241,7 +241,9 @@ def _spell(n: int):
                         spans.append(raw[a : b + n])
                         starts.append(a)
                 spots = np.concatenate([np.zeros(0, np.int64), *singles])
-                one, two = (rolling(x, n)[spots].view(np.int64) for x in (w.hashes, mixed(w.hashes)))
+                one = two = np.zeros(0, np.int64)
+                if len(spots):
+                    one, two = (rolling(x, n)[spots].view(np.int64) for x in (w.hashes, mixed(w.hashes)))
                 size, extra = len(seeds) + len(spots), len(spots)
                 key, th = (batch.column(c)[i].as_py() for c in ("key", "th"))
                 yield pa.RecordBatch.from_arrays(

@@ -62,10 +62,11 @@ def hashed(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def windows(hashes: np.ndarray, levels: Levels) -> Windows:
-    """Windows over a sequence given by a hash of each of its parts."""
-    short, twice = rolling(hashes, levels.seed), rolling(hashes, levels.twice)
+def windows(hashes: np.ndarray, levels: Levels, extend: bool = True) -> Windows:
+    """Windows over a sequence given by a hash of each of its parts; ``extend`` hashes level two."""
     none = np.zeros(0, np.int64)
+    short = rolling(hashes, levels.seed)
+    twice = rolling(hashes, levels.twice) if extend else none.astype(np.uint64)
     if len(hashes) < levels.n:
         return Windows(hashes, short, twice, none, none, none)
     # The place fills the low half, in every text alike, so that ties go to the left.
