@@ -18,13 +18,14 @@ from __future__ import annotations
 import bisect
 import functools
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import map_batches, map_slices, signed, stored, table, texts, utf8
@@ -226,13 +227,22 @@ def pressed(rows: DataFrame) -> DataFrame:
 
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
-#: Buckets for each text: two texts of similarity 0.8 meet in none with a chance of 3e-5.
+#: Buckets for each text: two texts of similarity 0.8 meet in none with a chance of 3e-5; the
+#: exact pass by prefixes finds them.
 BANDS = 20
 BAND_ROWS = 4
-#: Fingerprints of texts of similarity 0.8 differ in about 10 bits, and in 18 at most as measured.
+#: Fingerprints of texts of similarity 0.8 differ in about 10 bits. Pairs further apart and
+#: partners beyond the nearest in a shard are found by the exact pass.
 SIMILAR_RADIUS = 24
-#: Nearest fingerprints that a text is compared with in each shard of each of its buckets.
 NEAREST = 4
+#: Rounds that compare one text of each group before all that are left are compared.
+ROUNDS = 4
+#: Shingles that prefixes take last, and the sample that they are counted in.
+COMMON_SHINGLES = 1 << 18
+SAMPLE_TEXTS = 50_000
+SAMPLE_EVERY = 8
+#: Against rounding: bounds are this much too wide rather than too narrow.
+SLACK = 1e-6
 
 
 @functools.cache
@@ -252,34 +262,84 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return [xxhash.xxh3_64_intdigest(rows[i].tobytes(), i) for i in range(BANDS)]
 
 
-def similar_candidates(
-    whole: DataFrame, folder: str | None = None, tree_size: int = TREE_SIZE
-) -> DataFrame:
-    """(a, b): for each text (th, z) and bucket the texts with the nearest fingerprints there.
+def prefix_size(n: int, similarity: float) -> int:
+    """Shingles of a set of ``n`` of which a set of this similarity holds at least one."""
+    return n - max(1, math.ceil(similarity * n - SLACK)) + 1
 
-    Buckets are those of equal least shingle hashes, cut into shards with a BK-tree each. A
-    text asks every shard of its buckets for the nearest, so a group of any size gives each
-    of its texts a few links, never all pairs. What a text misses in one bucket, as others
-    are nearer, it meets in another or through a neighbour.
+
+def common_shingles(whole: DataFrame) -> np.ndarray:
+    """Hashes of the shingles that most texts hold, the rarest of them first; by a sample.
+
+    They only set the order in which prefixes are taken. Any order finds all pairs, this one
+    with fewer texts in a bucket.
+    """
+    every = min(SAMPLE_EVERY, whole.count() // SAMPLE_TEXTS + 1)
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for z in batch.column("z"):
+                found = np.unique(shingle_hashes(unpress.decompress(z.as_py()), SIMILAR_WORDS))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["w"])
+
+    sample = whole.where(F.pmod("th", F.lit(every)) == 0).select("z")
+    seen = map_batches(sample, spell, "w long").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    most = seen.where("n > 2").orderBy(F.desc("n"), "w").limit(COMMON_SHINGLES)
+    return np.array([r["w"] for r in most.collect()][::-1], np.int64).view(np.uint64)
+
+
+def signatures(whole: DataFrame, similarity: float, folder: str | None = None) -> DataFrame:
+    """(th, fp, n, keys, prefix) of the texts (th, z) that hold a word.
+
+    ``n`` is the number of distinct shingles and ``prefix`` as many of them as a similar text
+    can't miss, the shingles of few texts first and in one order for all texts.
     """
+    common = common_shingles(whole)
+    order = np.argsort(common)
+    shared = whole.sparkSession.sparkContext.broadcast((common[order], order + 1))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
+        known, ranks = shared.value
         for batch in batches:
-            th, fps, keys = [], [], []
+            th, fps, sizes, keys, prefixes = [], [], [], [], []
             for own, z in zip(batch.column("th").to_pylist(), batch.column("z")):
                 hashes = shingle_hashes(unpress.decompress(z.as_py()), SIMILAR_WORDS)
-                if len(hashes):
-                    th.append(own)
-                    fps.append(majority(hashes))
-                    keys.append(signed(band_keys(hashes)))
+                if not len(hashes):
+                    continue
+                distinct = np.unique(hashes)
+                rank = np.zeros(len(distinct), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
+                    rank = np.where(known[at] == distinct, ranks[at], 0)
+                first = np.argsort(rank, kind="stable")[: prefix_size(len(distinct), similarity)]
+                th.append(own)
+                fps.append(majority(hashes))
+                sizes.append(len(distinct))
+                keys.append(signed(band_keys(hashes)))
+                prefixes.append(distinct[first].view(np.int64))
+            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(th, pa.int64()), pa.array(signed(fps)), pa.array(keys, pa.list_(pa.int64()))],
-                ["th", "fp", "keys"],
-            )
+                [
+                    pa.array(th, pa.int64()), pa.array(signed(fps)), pa.array(sizes, pa.int64()),
+                    pa.array(keys, longs), pa.array(prefixes, longs),
+                ],
+                ["th", "fp", "n", "keys", "prefix"],
+            )
+
+    schema = "th long, fp long, n long, keys array<long>, prefix array<long>"
+    return stored(map_batches(whole.select("th", "z"), sign, schema), "signatures", folder)
+
+
+def similar_candidates(signs: DataFrame, tree_size: int = TREE_SIZE) -> DataFrame:
+    """(a, b): for each text of ``signatures`` and bucket the texts with the nearest fingerprints.
 
-    signs = map_batches(whole.select("th", "z"), sign, "th long, fp long, keys array<long>")
-    members = stored(signs, "signatures", folder).select("th", "fp", F.explode("keys").alias("bucket"))
+    Buckets are those of equal least shingle hashes, cut into shards with a BK-tree each. A
+    text asks every shard of its buckets for the nearest, so a group of any size gives each
+    of its texts a few links, never all pairs. These links join most of a group; what they
+    miss, as others are nearer or no bucket is shared, is left to ``crossing``.
+    """
+    members = signs.select("th", "fp", F.explode("keys").alias("bucket"))
     # Texts of one fingerprint are linked to the first of them and to the rest through it.
     same = members.groupBy("bucket", "fp").agg(F.min("th").alias("first"), F.count("th").alias("texts"))
     twins = same.where("texts > 1").select("bucket", "fp", F.col("first").alias("a"))
@@ -320,18 +380,86 @@ def similar_candidates(
     return map_batches(rows, search, "a long, b long").unionByName(stars).distinct()
 
 
-def similar_groups(
-    docs: DataFrame, folder: str | None = None, similarity: float = SIMILARITY
-) -> DataFrame:
-    """(key, th, kept): every row of ``docs`` and whether it stays, one of each group.
+def several_roots(entries: DataFrame) -> DataFrame:
+    """The entries of shingles whose texts are not yet all in one group."""
+    shingle = Window.partitionBy("w")
+    made = entries.withColumn("low", F.min("root").over(shingle)).withColumn("high", F.max("root").over(shingle))
+    return made.where("low < high").select("w", "th", "n", "rem", "root")
 
-    Groups are joined by pairs of texts whose sets of five-word shingles have this
-    similarity or more; the pairs come from ``similar_candidates`` and are verified on the
-    whole texts. The row with the smallest id stays, null ids last; of equal rows one.
+
+def enough(rem_a, rem_b, n_a, n_b, similarity: float):
+    """Whether sets can be similar whose first common shingle leaves so many of each to come.
+
+    Similarity t asks for t / (1 + t) of both sizes in common. Numbers or columns alike.
     """
-    rows = with_text_hash(texts(docs)).withColumn("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
-    texts_ = stored(pressed(rows).groupBy("th").agg(F.first("z").alias("z")), "texts", folder)
-    pairs = stored(similar_candidates(texts_, folder), "candidates", folder)
+    least = (n_a + n_b) * (similarity / (1 + similarity)) - SLACK
+    return (rem_a >= least) & (rem_b >= least)
+
+
+def neighbours(entries: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, ra, rb): one text of each group in a bucket with one of the group that follows."""
+    one = entries.groupBy("w", "root").agg(F.max(F.struct("rem", "n", "th")).alias("x"))
+    before = Window.partitionBy("w").orderBy("x.n", "root")
+    both = one.withColumn("y", F.lag("x").over(before)).withColumn("yr", F.lag("root").over(before))
+    both = both.where(enough(F.col("x.rem"), F.col("y.rem"), F.col("x.n"), F.col("y.n"), similarity))
+    return both.select(
+        F.col("x.th").alias("a"), F.col("y.th").alias("b"), F.col("root").alias("ra"), F.col("yr").alias("rb")
+    ).dropDuplicates(["a", "b"])
+
+
+def crossing(entries: DataFrame, similarity: float, tree_size: int = TREE_SIZE) -> DataFrame:
+    """(a, b, ra, rb): all texts of different groups that can be similar, by prefixes.
+
+    Two similar texts share a shingle of their prefixes, and behind the first one they share
+    enough is left of both. Large buckets are cut into shards that all their members ask.
+    """
+    sizes = entries.groupBy("w").agg(F.ceil(F.count(F.lit(1)) / tree_size).alias("shards"))
+    members = entries.join(sizes, "w")
+    shard = F.pmod(F.xxhash64("th"), F.col("shards"))
+    rest = ["th", "n", "rem", "root"]
+    held = members.select("w", shard.alias("shard"), F.lit(0).alias("asks"), *rest)
+    shards = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
+    asked = members.select("w", shards.alias("shard"), F.lit(1).alias("asks"), *rest)
+    rows = held.unionByName(asked).repartition("w", "shard").sortWithinPartitions("w", "shard", "asks")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, kept, block = None, [], None
+
+        def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+            columns = np.concatenate(found, axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["a", "b", "ra", "rb"])
+
+        for batch in batches:
+            found, size = [], 0
+            columns = [batch.column(c).to_pylist() for c in ("w", "shard", "asks", *rest)]
+            for w, part, asks, th, n, rem, root in zip(*columns):
+                if (w, part) != key:
+                    key, kept, block = (w, part), [], None
+                if not asks:
+                    kept.append((th, n, rem, root))
+                    continue
+                if block is None:
+                    block = np.array(kept, np.int64).reshape(-1, 4).T
+                ths, ns, rems, roots = block
+                hit = (ths > th) & (roots != root) & enough(rem, rems, n, ns, similarity)
+                if hit.any():
+                    others = ths[hit]
+                    found.append(
+                        np.stack([np.full(len(others), th), others, np.full(len(others), root), roots[hit]])
+                    )
+                    size += len(others)
+                    if size > 100_000:
+                        yield batch_of(found)
+                        found, size = [], 0
+            if found:
+                yield batch_of(found)
+
+    return map_batches(rows, search, "a long, b long, ra long, rb long").dropDuplicates(["a", "b"])
+
+
+def verified(pairs: DataFrame, texts_: DataFrame, similarity: float) -> DataFrame:
+    """The rows of ``pairs`` whose texts a and b are similar, judged on the whole texts."""
+    columns = pairs.columns
     left = pairs.join(texts_.select(F.col("th").alias("a"), F.col("z").alias("za")), "a")
     both = left.join(texts_.select(F.col("th").alias("b"), F.col("z").alias("zb")), "b")
 
@@ -347,12 +475,65 @@ def similar_groups(
                 a, b = shingles(za), shingles(zb)
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 near.append(common >= similarity * (len(a) + len(b) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+            yield batch.select(columns).filter(pa.array(near, pa.bool_()))
 
-    links = map_batches(both.select("a", "b", "za", "zb"), verify, "a long, b long")
-    joined = components(links, folder).select(F.col("node").alias("th"), "root")
-    grouped = rows.select("key", "th").join(joined, "th", "left").withColumn("root", F.coalesce("root", "th"))
-    grouped = stored(grouped, "groups", folder)
+    return map_batches(both.select(*columns, "za", "zb"), verify, ", ".join(f"{c} long" for c in columns))
+
+
+def similar_roots(texts_: DataFrame, similarity: float, folder: str | None = None) -> DataFrame:
+    """(th, root): the group of each text (th, z), one root for all that links reach.
+
+    Nearest fingerprints give links for most of each group. Then texts that are still apart
+    and share a shingle of their prefixes are compared: first one text of each group with
+    one of the next, for as long as that joins groups, then all that are left. So no link
+    between two groups is missed, and a large group costs no comparison of all its pairs.
+    """
+    signs = signatures(texts_, similarity, folder)
+    pairs = stored(similar_candidates(signs), "candidates", folder)
+    joined = components(verified(pairs, texts_, similarity), folder).withColumnRenamed("node", "th")
+    roots = texts_.select("th").join(joined, "th", "left").withColumn("root", F.coalesce("root", "th"))
+    roots = stored(roots, "roots", folder)
+    shingle = Window.partitionBy("w")
+    entries = signs.select("th", "n", F.posexplode("prefix").alias("place", "w"))
+    entries = entries.select("w", "th", "n", (F.col("n") - F.col("place")).alias("rem"))
+    entries = entries.withColumn("low", F.min("th").over(shingle)).withColumn("high", F.max("th").over(shingle))
+    entries = entries.where("low < high").drop("low", "high").join(roots, "th")
+    entries = stored(several_roots(entries), "shared-shingles", folder)
+    for whole in [False] * ROUNDS + [True]:
+        if joins_none(entries):
+            break
+        found = crossing(entries, similarity) if whole else neighbours(entries, similarity)
+        links = stored(verified(stored(found, "crossing", folder), texts_, similarity), "crossing-links", folder)
+        if joins_none(links):
+            continue
+        moved = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")), folder)
+        moved = stored(moved.select(F.col("node").alias("root"), F.col("root").alias("joint")), "joined", folder)
+        roots = stored(_moved(roots, moved), "roots", folder)
+        entries = stored(several_roots(_moved(entries, moved)), "shared-shingles", folder)
+    return roots
+
+
+def joins_none(rows: DataFrame) -> bool:
+    return not rows.take(1)
+
+
+def _moved(rows: DataFrame, moved: DataFrame) -> DataFrame:
+    return rows.join(moved, "root", "left").withColumn("root", F.coalesce("joint", "root")).drop("joint")
+
+
+def similar_groups(
+    docs: DataFrame, folder: str | None = None, similarity: float = SIMILARITY
+) -> DataFrame:
+    """(key, th, kept): every row of ``docs`` and whether it stays, one of each group.
+
+    Groups are joined by all pairs of texts whose sets of five-word shingles have this
+    similarity or more, verified on the whole texts. The row with the smallest id stays,
+    null ids last; of equal rows one.
+    """
+    rows = with_text_hash(texts(docs)).withColumn("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    texts_ = stored(pressed(rows).groupBy("th").agg(F.first("z").alias("z")), "texts", folder)
+    roots = similar_roots(texts_, similarity, folder)
+    grouped = stored(rows.select("key", "th").join(roots, "th"), "groups", folder)
     first = grouped.groupBy("root").agg(F.min(F.struct("key", "th")).alias("first"))
     keep = grouped.join(first, "root").select(
         "key", "th", F.struct("key", "th").eqNullSafe(F.col("first")).alias("kept")

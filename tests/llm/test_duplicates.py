@@ -140,6 +140,45 @@ def test_similar_groups_keep_one_each(spark, corpus, tmp_path):
     assert sorted(r.key for r in kept) == [*range(1000, 1020), 2000, 4000]
 
 
+def kept_ids(spark, rows, folder):
+    kept = simhash_bk.similar_groups(table(spark, rows), str(folder)).where("kept").collect()
+    return sorted(r.key for r in kept)
+
+
+def plain_kept(rows):
+    """Smallest id of each group of texts with distinct shingles alike, all pairs compared."""
+    sets = [set(simhash_bk.shingle_hashes(t.encode(), 5).tolist()) for _, t in rows]
+    pairs = itertools.combinations(range(len(rows)), 2)
+    linked = [(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    top = smallest_reachable(range(len(rows)), linked)
+    least = defaultdict(list)
+    for i, (key, _) in enumerate(rows):
+        least[top[i]].append(key)
+    return sorted(map(min, least.values()))
+
+
+def test_similar_groups_link_tight_families(spark, tmp_path):
+    """A text has more near copies in its family than places for the nearest."""
+    rows = []
+    for trial in range(6):
+        rng = random.Random(trial)
+        base = words(rng, 300, 5000).split()
+        for family in range(2):
+            middle = base[:]
+            for place in (50, 150, 250):
+                middle[place] = f"f{trial}x{family}x{place}"
+            for i in range(40):
+                own = middle[:]
+                own[(7 * i) % 300] = f"o{trial}x{family}x{i}"
+                rows.append((trial * 1000 + family * 100 + i, " ".join(own)))
+    # Pages of one template with a partner each for a few of them.
+    rng = random.Random(77)
+    frame = words(rng, 150, 5000)
+    pages = [(10_000 + i, f"{frame} {words(rng, 30, 10**6)}") for i in range(60)]
+    rows += pages + [(20_000 + i, f"{pages[9 * i][1]} {words(rng, 12, 10**6)}") for i in range(6)]
+    assert kept_ids(spark, rows, tmp_path) == plain_kept(rows)
+
+
 # --- Repeated windows ------------------------------------------------------------------------
 
 
