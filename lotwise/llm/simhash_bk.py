@@ -291,7 +291,8 @@ def common_shingles(whole: DataFrame) -> np.ndarray:
 def signatures(whole: DataFrame, similarity: float, folder: str | None = None) -> DataFrame:
     """(th, fp, n, keys, prefix) of the texts (th, z) that hold a word.
 
-    ``n`` is the number of distinct shingles and ``prefix`` as many of them as a similar text
+    Fingerprints are majorities over distinct shingles, as similarity is judged on sets:
+    repeats of a line don't move them. ``n`` is the number of distinct shingles and ``prefix`` as many of them as a similar text
     can't miss, the shingles of few texts first and in one order for all texts.
     """
     common = common_shingles(whole)
@@ -314,9 +315,9 @@ def signatures(whole: DataFrame, similarity: float, folder: str | None = None) -
                     rank = np.where(known[at] == distinct, ranks[at], 0)
                 first = np.argsort(rank, kind="stable")[: prefix_size(len(distinct), similarity)]
                 th.append(own)
-                fps.append(majority(hashes))
+                fps.append(majority(distinct))
                 sizes.append(len(distinct))
-                keys.append(signed(band_keys(hashes)))
+                keys.append(signed(band_keys(distinct)))
                 prefixes.append(distinct[first].view(np.int64))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -179,6 +179,22 @@ def test_similar_groups_link_tight_families(spark, tmp_path):
     assert kept_ids(spark, rows, tmp_path) == plain_kept(rows)
 
 
+def test_similar_groups_ignore_repeats_of_a_line(spark, tmp_path):
+    """A repeated line hardly changes the set of shingles, however often it stands there."""
+    rows = []
+    for i in range(24):
+        rng = random.Random(500 + i)
+        body, line = words(rng, 200, 5000), words(rng, 10, 5000)
+        rows += [(i, body), (100 + i, f"{body} {' '.join([line] * (10, 20, 60)[i % 3])}")]
+    assert kept_ids(spark, rows, tmp_path) == plain_kept(rows) == list(range(24))
+    texts_ = simhash_bk.pressed(simhash_bk.with_text_hash(table(spark, rows)))
+    signs = simhash_bk.signatures(texts_, 0.8, str(tmp_path))
+    prints = {r.th: r.fp for r in signs.collect()}
+    ths = [r.th for r in simhash_bk.with_text_hash(table(spark, rows)).collect()]
+    for a, b in zip(ths[::2], ths[1::2]):
+        assert ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count() <= simhash_bk.SIMILAR_RADIUS
+
+
 # --- Repeated windows ------------------------------------------------------------------------
 
 
