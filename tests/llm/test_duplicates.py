@@ -195,6 +195,20 @@ def test_similar_groups_ignore_repeats_of_a_line(spark, tmp_path):
         assert ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count() <= simhash_bk.SIMILAR_RADIUS
 
 
+def test_similar_groups_link_texts_of_one_fingerprint(spark, tmp_path):
+    """One line outweighs all bodies in a majority with repeats; the first text is like no other."""
+    rng = random.Random(12)
+    line, core = words(rng, 9, 10**6), words(rng, 150, 10**6)
+    rows = []
+    for i in range(40):
+        own = words(rng, 30, 10**6).split()
+        loop = " ".join([line] * 300)
+        rows.append((i, f"{core} {' '.join(own)} {loop}"))
+        own[3] = "other"
+        rows.append((100 + i, f"{core} {' '.join(own)} {loop}"))
+    assert kept_ids(spark, rows, tmp_path) == plain_kept(rows) == list(range(40))
+
+
 # --- Repeated windows ------------------------------------------------------------------------
 
 
