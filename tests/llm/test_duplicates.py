@@ -209,6 +209,14 @@ def test_similar_groups_link_texts_of_one_fingerprint(spark, tmp_path):
     assert kept_ids(spark, rows, tmp_path) == plain_kept(rows) == list(range(40))
 
 
+def test_similar_groups_link_texts_without_a_common_bucket(spark, tmp_path):
+    long = " ".join(f"r116218x{i}" for i in range(9))
+    rows = [(1, long), (2, long.rsplit(" ", 1)[0]), (3, "unlike any of the texts before")]
+    keys = [set(simhash_bk.band_keys(simhash_bk.shingle_hashes(t.encode(), 5))) for _, t in rows]
+    assert not keys[0] & keys[1]
+    assert kept_ids(spark, rows, tmp_path) == plain_kept(rows) == [1, 3]
+
+
 # --- Repeated windows ------------------------------------------------------------------------
 
 
