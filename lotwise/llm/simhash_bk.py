@@ -525,21 +525,22 @@ def _moved(rows: DataFrame, moved: DataFrame) -> DataFrame:
 def similar_groups(
     docs: DataFrame, folder: str | None = None, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """(key, th, kept): every row of ``docs`` and whether it stays, one of each group.
+    """(key, th, kept, copies): the rows of ``docs`` and whether they stay, one of each group.
 
     Groups are joined by all pairs of texts whose sets of five-word shingles have this
     similarity or more, verified on the whole texts. The row with the smallest id stays,
-    null ids last; of equal rows one.
+    null ids last. Rows equal in id and text are one row here, ``copies`` is their number; of
+    these the caller has to keep one.
     """
     rows = with_text_hash(texts(docs)).withColumn("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
     texts_ = stored(pressed(rows).groupBy("th").agg(F.first("z").alias("z")), "texts", folder)
     roots = similar_roots(texts_, similarity, folder)
     grouped = stored(rows.select("key", "th").join(roots, "th"), "groups", folder)
     first = grouped.groupBy("root").agg(F.min(F.struct("key", "th")).alias("first"))
-    keep = grouped.join(first, "root").select(
-        "key", "th", F.struct("key", "th").eqNullSafe(F.col("first")).alias("kept")
+    copies = grouped.groupBy("key", "th", "root").agg(F.count(F.lit(1)).alias("copies"))
+    return copies.join(first, "root").select(
+        "key", "th", F.struct("key", "th").eqNullSafe(F.col("first")).alias("kept"), "copies"
     )
-    return keep.dropDuplicates(["key", "th"])
 
 
 def with_text_hash(docs: DataFrame) -> DataFrame:

@@ -56,3 +56,11 @@ def test_stages_take_empty_tables_and_nulls(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
         assert stage(spark, odd, sf_dir).count() >= 1
+
+
+def test_near_dedup_keeps_one_of_repeated_rows(spark, sf_dir):
+    schema = table(spark, sf_dir, "documents").schema
+    rows = [(1, "one text of several words", "en", "s", 25)] * 3 + [(2, "quite another text of its own", "en", "s", 29)]
+    rows += [(None, "a text without an id", "en", "s", 20)] * 2 + [(None, None, None, None, None)] * 2
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, schema), sf_dir).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(set(rows), key=str)
