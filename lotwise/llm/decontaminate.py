@@ -1,6 +1,8 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Every benchmark item is cut into overlapping windows of characters. A stretch of a document
+Every benchmark item is cut into overlapping windows of 100 characters at a stride of 10, so
+a passage of 109 characters or more of an item is found wherever it begins; an item of up to
+100 characters is one window and needs all of it, less the edits. A stretch of a document
 within the edit budget of a window shares at least ``n + 1 - q * (edits + 1)`` q-grams with
 it, whose diagonals (place in the document minus place in the window) differ by at most the
 budget. So shared q-grams are counted in overlapping bands of diagonals, and bands that
@@ -26,11 +28,12 @@ from pyspark.sql import functions as F
 from lotwise.llm.common import map_slices, rolling, table, texts
 
 WINDOW = 100
-STEP = 50
+#: A verbatim stretch of an item is found for certain from WINDOW + STEP - 1 characters on.
+STEP = 10
 EDIT_RATE = 0.06
 Q = 10
 #: Characters of the benchmark in one block, which every task holds.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 800_000
 FILTER_BITS = 22
 
 

@@ -219,3 +219,14 @@ def test_scores_of_odd_rows(spark):
     by_id = {r.doc_id: r.v for r in got}
     assert min(by_id[i] for i in range(60)) > max(by_id[100 + i] for i in range(60))
     assert quality.fit(docs.limit(0), labels.limit(0))
+
+
+def test_passages_off_the_grid_are_found(spark):
+    rng = random.Random(31)
+    item = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(70))
+    length = decontaminate.WINDOW + 9
+    quotes = [(at, f"Before it {item[at : at + length]} after it") for at in range(0, len(item) - length + 1, 3)]
+    docs = spark.createDataFrame(quotes, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {r.doc_id for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == {at for at, _ in quotes}
