@@ -205,7 +205,8 @@ def repeats(docs: DataFrame, whole: DataFrame, n: int, folder: str | None) -> Da
         "seed", "one.*", (F.col("spans") > BUCKET_SPANS).alias("large")
     )
     wanted = ones.groupBy("key", "th").agg(F.collect_list(F.struct("place", "seed", "large")).alias("open"))
-    rows = whole.join(wanted, ["key", "th"]).select("doc_id", "key", "th", "z", "open")
+    # Repeated rows are spelt once, or one of them would count as earlier than the other.
+    rows = whole.join(wanted, ["key", "th"]).select("key", "th", "z", "open").dropDuplicates(["key", "th"])
     spelt = stored(map_batches(rows, _spell(n), SPELT), "spelt-spans", folder)
     bucketed = spelt.where("span IS NOT NULL").select("seed", "span", "key", "th", "start")
     bucketed = bucketed.repartition("seed").sortWithinPartitions("seed")

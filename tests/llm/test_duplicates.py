@@ -267,6 +267,18 @@ def test_repeated_bytes_go(spark, corpus, tmp_path, monkeypatch, n, spans):
     assert Counter(digests) == Counter(plain_bytes(corpus, n))
 
 
+@pytest.mark.parametrize("spans", [4096, 2])
+def test_repeated_rows_keep_their_bytes(spark, tmp_path, monkeypatch, spans):
+    monkeypatch.setattr(bwt_merge, "BUCKET_SPANS", spans)
+    rng = random.Random(21)
+    shared = words(rng, 40, 5000)
+    long = f"{words(rng, 60, 5000)} {shared} {words(rng, 60, 5000)}"
+    rows = [(7, long), (7, long), (None, f"{shared} {words(rng, 20, 5000)}"), (9, f"{words(rng, 30, 5000)} {shared}")]
+    got = bwt_merge.drop_repeats(table(spark, rows), 40, str(tmp_path)).collect()
+    digests = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got]
+    assert Counter(digests) == Counter(plain_bytes(rows, 40))
+
+
 def test_merged_transforms_give_the_repeats():
     rng = random.Random(5)
     for _ in range(60):
