@@ -236,7 +236,7 @@ BAND_ROWS = 4
 SIMILAR_RADIUS = 24
 NEAREST = 4
 #: Rounds that compare one text of each group before all that are left are compared.
-ROUNDS = 4
+ROUNDS = 2
 #: Shingles that prefixes take last, and the sample that they are counted in.
 COMMON_SHINGLES = 1 << 18
 SAMPLE_TEXTS = 50_000
@@ -500,13 +500,15 @@ def similar_roots(texts_: DataFrame, similarity: float, folder: str | None = Non
     entries = entries.withColumn("low", F.min("th").over(shingle)).withColumn("high", F.max("th").over(shingle))
     entries = entries.where("low < high").drop("low", "high").join(roots, "th")
     entries = stored(several_roots(entries), "shared-shingles", folder)
-    for whole in [False] * ROUNDS + [True]:
-        if joins_none(entries):
-            break
+    rounds = ROUNDS
+    while rounds >= 0 and not joins_none(entries):
+        whole = rounds == 0
         found = crossing(entries, similarity) if whole else neighbours(entries, similarity)
         links = stored(verified(stored(found, "crossing", folder), texts_, similarity), "crossing-links", folder)
         if joins_none(links):
+            rounds = -1 if whole else 0
             continue
+        rounds -= 1
         moved = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")), folder)
         moved = stored(moved.select(F.col("node").alias("root"), F.col("root").alias("joint")), "joined", folder)
         roots = stored(_moved(roots, moved), "roots", folder)
