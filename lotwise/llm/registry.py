@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lotwise.llm import bwt_merge, chat, chunk_bpe, decontaminate, doubling, line_spread, merkle, quality, simhash_bk, wavelet
+from lotwise.llm import align, bwt_merge, chat, chunk_bpe, decontaminate, doubling, line_spread, merkle, quality, simhash_bk, wavelet
 
 MODULES = (
-    wavelet, simhash_bk, line_spread, doubling, chat, decontaminate, chunk_bpe, merkle, quality, bwt_merge
+    wavelet, simhash_bk, line_spread, doubling, chat, decontaminate, chunk_bpe, merkle, quality, bwt_merge, align
 )
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
