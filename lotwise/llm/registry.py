@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lotwise.llm import align, bwt_merge, chat, chunk_bpe, decontaminate, doubling, lexical, line_spread, merkle, quality, simhash_bk, wavelet
+from lotwise.llm import align, bwt_merge, chat, chunk_bpe, decontaminate, doubling, lexical, line_spread, merkle, mixing, quality, simhash_bk, wavelet
 
 MODULES = (
     wavelet, simhash_bk, line_spread, doubling, chat, decontaminate, chunk_bpe, merkle, quality, bwt_merge, align,
-    lexical,
+    lexical, mixing,
 )
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
