@@ -89,7 +89,7 @@ def sizes(docs: DataFrame) -> DataFrame:
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """Per source its place by name, words, target, blocks and quota of slots.
+    """Per source its place by name, words, target, blocks, quota of slots and the quotas before.
 
     With the sources in order of what they can take for their weight, the level is the
     largest of the shares that are left if all sources before are full. One row a source.
@@ -113,7 +113,8 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
         levels.withColumn("target", target)
         .withColumn("blocks", blocks)
         .withColumn("quota", F.when(F.col("source_size") > 0, F.least(F.col("blocks") * cap, quota)).otherwise(0))
-        .select("source", "number", "docs", "source_size", "target", "blocks", "quota")
+        .withColumn("low", F.sum("quota").over(Window.orderBy("number")) - F.col("quota"))
+        .select("source", "number", "docs", "source_size", "target", "blocks", "quota", "low")
     )
 
 
@@ -160,23 +161,23 @@ def pieces(documents: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
 
 
-def drawn(spark: SparkSession, sources: DataFrame, total: int) -> DataFrame:
+def drawn(sources: DataFrame, total: int, folder: str | None = None) -> DataFrame:
     """(shard, slot, number, turn): the source of each slot, and the slot's number within it.
 
     Every slot draws one of ``total`` tickets. Quotas hold after the exchange of what sources drew too
     often for what others drew too seldom.
     """
-    slots = spark.range(0, total, 1, total // (1 << 20) + 1).select(
+    slots = sources.sparkSession.range(0, total, 1, total // (1 << 20) + 1).select(
         F.floor(F.col("id") / SHARD_SLOTS).alias("shard"),
         F.col("id").alias("slot"),
         (wide_noise(F.col("id"), SEED) % max(total, 1)).alias("ticket"),
     )
-    owned = before(sources.select("number", "quota", F.lit(0).alias("all")), ["all"], "number", "quota", "low")
-    owned = owned.where("quota > 0").withColumn("high", F.col("low") + F.col("quota"))
+    owned = sources.where("quota > 0").withColumn("high", F.col("low") + F.col("quota"))
     bins = F.sequence(F.floor(F.col("low") / BIN_TICKETS), F.floor((F.col("high") - 1) / BIN_TICKETS))
     owned = owned.select("number", "low", "high", F.explode(bins).alias("bin"))
     met = slots.withColumn("bin", F.floor(F.col("ticket") / BIN_TICKETS)).join(owned, "bin")
     met = met.where("ticket >= low AND ticket < high").select("shard", "slot", "number")
+    met = stored(met, "mixing-draws", folder)
 
     counts = met.groupBy("number", "shard").agg(F.count("*").alias("n"))
     ahead = before(counts, ["number"], "shard", "n", "ahead").select("number", "shard", "ahead")
@@ -185,11 +186,12 @@ def drawn(spark: SparkSession, sources: DataFrame, total: int) -> DataFrame:
     turns = turns.select("shard", "slot", "number", (F.col("ahead") + F.col("within")).alias("turn"))
 
     got = sources.join(counts.groupBy("number").agg(F.sum("n").alias("got")), "number", "left")
-    got = got.select("number", "quota", F.coalesce("got", F.lit(0)).alias("got"), F.lit(0).alias("all"))
-    over, under = F.greatest(F.col("got") - F.col("quota"), F.lit(0)), F.greatest(F.col("quota") - F.col("got"), F.lit(0))
-    got = got.withColumn("over", over).withColumn("under", under)
-    spare = before(got, ["all"], "number", "over", "first").select("number", "quota", "first")
-    short = before(got, ["all"], "number", "under", "first").where("under > 0")
+    got = got.select("number", "quota", F.coalesce("got", F.lit(0)).alias("got"))
+    by_number = Window.orderBy("number")
+    over, under = (F.greatest(x, F.lit(0)) for x in (F.col("got") - F.col("quota"), F.col("quota") - F.col("got")))
+    spare = got.select("number", "quota", (F.sum(over).over(by_number) - over).alias("first"))
+    short = got.select("number", "got", under.alias("under"), (F.sum(under).over(by_number) - under).alias("first"))
+    short = short.where("under > 0")
     short = short.select(
         F.col("number").alias("to"), "got", F.posexplode(F.sequence(F.col("first"), F.col("first") + F.col("under") - 1))
     ).select(F.col("col").alias("place"), "to", (F.col("got") + F.col("pos")).alias("turn"))
@@ -241,12 +243,11 @@ def mixed(docs: DataFrame, folder: str | None = None) -> tuple[DataFrame, DataFr
     A span is (shard, slot, number, round, block, doc_id, th, start, first, n_words): the words
     from ``first`` on of a document, in the order of shard, slot and start.
     """
-    spark = docs.sparkSession
     sized = stored(sizes(docs), "mixing-sizes", folder)
     sources = stored(targets(sized), "mixing-sources", folder)
     documents = stored(placed(sized, sources), "mixing-documents", folder)
     total = sources.agg(F.sum("quota")).first()[0] or 0
-    slots = permuted(drawn(spark, sources, total), sources)
+    slots = permuted(drawn(sources, total, folder), sources)
     return slots.join(pieces(documents), ["number", "block"]), documents, sources
 
 
