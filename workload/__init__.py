@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import cleaning, jobs, metrics, profiling, tables
+from workload import cleaning, jobs, metrics, profiling, relations, streams, tables
 
-MODULES = (jobs, tables, profiling, cleaning, metrics)
+MODULES = (jobs, tables, profiling, cleaning, metrics, relations, streams)
 
 
 def all_queries():
