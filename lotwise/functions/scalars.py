@@ -106,10 +106,17 @@ def parse_list(col: Column) -> Column:
 
     A bare None is a null element.
     """
-    # Outside of quotes: what follows has its quotes in pairs.
-    none = r"""\bNone\b(?=(?:[^'"]*(?:'[^']*'|"[^"]*"))*[^'"]*$)"""
+    # Quoted runs and what lies between, each as a whole: a None in quotes is text.
+    parts = F.regexp_extract_all(col, F.lit(r"""'[^']*+'|"[^"]*+"|[^'"]++|['"]"""), F.lit(0))
+    bare = F.transform(
+        parts,
+        lambda x: F.when(x.startswith("'") | x.startswith('"'), x).otherwise(
+            F.regexp_replace(x, r"\bNone\b", "null")
+        ),
+    )
     options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
-    return F.coalesce(F.from_json(F.regexp_replace(col, none, "null"), "array<string>", options), F.array().cast("array<string>"))
+    items = F.from_json(F.array_join(bare, ""), "array<string>", options)
+    return F.coalesce(items, F.array().cast("array<string>"))
 
 
 def first_number(col: Column, dtype: str = "double") -> Column:

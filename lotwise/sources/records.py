@@ -12,7 +12,10 @@ from lotwise.functions.scalars import num, trimmed
 def read_json_records(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str, multiline: bool = True
 ) -> DataFrame:
-    """Files that each hold a JSON array of records."""
+    """Records of JSON arrays: one array to a file, or without ``multiline`` one to a line.
+
+    Files with an array to a line are read in splits, however long they are.
+    """
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 

@@ -46,7 +46,7 @@ def test_price_filter_reaches_the_scan(spark, sf_dir):
 
 
 def test_samples_and_stop_words_take_one_scan(spark, sf_dir):
-    assert plan(QUERIES["bernoulli_sample"](spark, sf_dir)).count("FileScan") == 1
+    assert plan(QUERIES["bernoulli_sizes"](spark, sf_dir)).count("FileScan") == 1
     words = plan(QUERIES["stopword_filter"](spark, sf_dir))
     assert "BroadcastHashJoin" in words and "SortMergeJoin" not in words
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotwise.operators import metrics as M
 from lotwise.operators import sampling as S
 from lotwise.sources.records import parse_report_log, read_json_records
+from lotwise.sources.sinks import read_report, write_report
 
 LOG = """Report
 | 1.00% | 1 | 1 | 1 | 1 | 1 |
@@ -103,3 +104,19 @@ def test_samples(spark, sf_dir):
     assert S.bernoulli_sample(rows, 1.0).count() == rows.count()
     sizes = {r.fraction: r.n for r in S.sample_sizes(rows, key, [0.2, 1.0]).collect()}
     assert sizes == {0.2: part.count(), 1.0: rows.count()}
+
+
+def test_arrays_one_to_a_line(spark, tmp_path):
+    lines = [json.dumps([{"a": i * 10 + k, "b": f"x\n{k}"} for k in range(3)]) for i in range(50)]
+    spark.createDataFrame([(x,) for x in lines] + [("[]",), ("",)], "value string").coalesce(1).write.text(str(tmp_path / "j"))
+    rows = read_json_records(spark, str(tmp_path / "j"), "a long, b string", multiline=False).dropna().collect()
+    assert sorted(r.a for r in rows) == sorted(i * 10 + k for i in range(50) for k in range(3))
+
+
+def test_lines_of_a_report_have_their_place(spark, tmp_path):
+    path = str(tmp_path / "report")
+    df = spark.range(5000).select(F.concat(F.lit("line "), F.col("id")).alias("line"), (-F.col("id")).alias("o"))
+    write_report(df.repartition(6), path, ["o"])
+    rows = read_report(spark, path).collect()
+    assert {r.place: r.line for r in rows} == {i + 1: f"line {4999 - i}" for i in range(5000)}
+    assert read_report(spark, path).where("place = 1").first().line == "line 4999"

@@ -157,3 +157,17 @@ def test_bare_none_is_a_null_element(one, text, items):
     from lotwise.functions.scalars import parse_list
 
     assert one(parse_list, text) == items
+
+
+def test_long_lists_parse(one):
+    items = [None if i % 7 == 3 else f"item {i}, None" if i % 2 else "it's" for i in range(20_000)]
+    text = "[" + ", ".join("None" if x is None else f'"{x}"' if "'" in x else f"'{x}'" for x in items) + "]"
+    assert one(S.parse_list, text) == items
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [("[None]", [None]), ("['None', None]", ["None", None]), ("['a', None", []), ("[\"it's None\", None]", ["it's None", None]), ("'", []), ("[NoneSuch]", [])],
+)
+def test_bare_none_is_a_null_element(one, text, want):
+    assert one(S.parse_list, text) == want

@@ -40,11 +40,14 @@ def banded_l(spark, sf, **options):
 
 
 def text_d(spark, sf):
-    return bands.valid_market(
+    """Valid rows with their text and band, dealt out by id: a file of long texts may be one split."""
+    rows = bands.valid_market(
         text_listings(spark, sf).withColumn(
             "text", first_nonblank(F.col("description_cleaned"), F.col("description"))
         )
-    ).withColumn("band", price_band(F.col("price")))
+    )
+    dealt = rows.select("doc_id", *MARKET, "text").repartition("doc_id")
+    return dealt.withColumn("band", price_band(F.col("price")))
 
 
 def normalize_key(spark, sf):

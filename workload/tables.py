@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import functools
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotwise.functions.scalars import num, price_band, whole
@@ -10,13 +12,14 @@ from lotwise.operators import sampling
 from lotwise.operators.bands import market_rule
 from lotwise.operators.models import listing_rule
 from lotwise.operators.profiling import validity_funnel
+from lotwise.operators.snapshots import row_counts
 from lotwise.plans.reports import price_report
 from lotwise.schema import project
 from lotwise.session import shared_path
 from lotwise.sources.inventory import input_inventory
 from lotwise.sources.listings_csv import read_flagged_csv, read_listings_csv, split_bad_rows
 from lotwise.sources.records import parse_report_log, read_json_records
-from lotwise.sources.sinks import write_report, write_table
+from lotwise.sources.sinks import read_report, write_report, write_table
 from workload.folders import work_folder
 from workload.jobs import BAND, LISTING_OK, MARKET_OK, ORACLES as JOB_ORACLES
 from workload.views import D_SQL, L_SQL, listings, table, text_listings
@@ -86,17 +89,36 @@ def head_sample(spark, sf):
 
 
 def bernoulli_sample(spark, sf):
-    """Sizes of the samples against the law of large numbers, over all rows."""
-    sizes = sampling.bernoulli_sizes(listings(spark, sf, *KEY, "price"), FRACTIONS)
+    """The samples of all fractions held against the table they are drawn from.
+
+    Which rows a sample has is chance; that it has only rows of the table, none more often than
+    there, and about as many as asked for, is not.
+    """
+    rows = listings(spark, sf, *KEY, "price")
+    foreign = F.sum(F.greatest(F.col("n_old") - F.col("n_new"), F.lit(0)))
+    checks = [
+        row_counts(sampling.bernoulli_sample(rows, fraction), rows)
+        .agg(F.sum("n_old").alias("n"), F.sum("n_new").alias("total_rows"), foreign.alias("foreign_rows"))
+        .select(F.lit(float(fraction)).alias("fraction"), "*")
+        for fraction in FRACTIONS
+    ]
+    return _plausible(functools.reduce(DataFrame.unionByName, checks), "foreign_rows")
+
+
+def _plausible(sizes, *more):
+    """Whether sizes are those of random samples, by the law of large numbers."""
     share = F.col("total_rows") * F.col("fraction")
+    near = F.abs(F.col("n") - share) <= 6 * F.sqrt(share * (1 - F.col("fraction"))) + 0.5
     return sizes.select(
-        "fraction",
-        "total_rows",
-        (F.abs(F.col("n") - share) <= 6 * F.sqrt(share * (1 - F.col("fraction"))) + 0.5).alias("plausible"),
-        (F.col("n") == F.col("total_rows")).alias("keeps_all"),
+        "fraction", "total_rows", *more, near.alias("plausible"), (F.col("n") == F.col("total_rows")).alias("keeps_all")
     )
 
 
+def bernoulli_sizes(spark, sf):
+    """Sizes of nested samples, all from one scan."""
+    return _plausible(sampling.bernoulli_sizes(listings(spark, sf, *KEY, "price"), FRACTIONS))
+
+
 def hash_sample(spark, sf):
     return sampling.hash_sample(listings(spark, sf, *KEY, "price"), KEY, 0.1)
 
@@ -110,7 +132,7 @@ def text_sink(spark, sf):
     path = shared_path(spark, "report", work_folder(spark))
     report = price_report(listings(spark, sf, "make_name", "model_name", "price", "year"))
     write_report(report, path, ["make_name"])
-    return spark.read.text(path).withColumnRenamed("value", "line")
+    return read_report(spark, path)
 
 
 def table_sink(spark, sf):
@@ -137,16 +159,16 @@ def inventory(spark, sf):
 
 
 def read_json(spark, sf):
-    """Events written as files of one JSON array each, read back as records."""
+    """Events written as JSON arrays, one to a line and many to a file, read back as records."""
     path = shared_path(spark, "json", work_folder(spark))
     events = table(spark, sf, "events").select("event_id", "event_type", "value", "props")
-    # A thousand events per array: the number of arrays grows, their size does not.
+    # A thousand events per array: the number of lines grows, their size does not.
     arrays = events.groupBy(F.floor(F.col("event_id") / 1000).alias("chunk")).agg(
         F.to_json(F.collect_list(F.struct("event_id", "event_type", "value", "props"))).alias("value")
     )
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    arrays.select("value").write.text(path)
     records = read_json_records(
-        spark, path, "event_id bigint, event_type string, value double, props string"
+        spark, path, "event_id bigint, event_type string, value double, props string", multiline=False
     )
     return records.select(
         "event_id", "event_type", "value", F.from_json("props", "k int").getField("k").alias("k")
@@ -188,6 +210,7 @@ QUERIES = {
     "project_job_columns": project_job_columns,
     "head_sample": head_sample,
     "bernoulli_sample": bernoulli_sample,
+    "bernoulli_sizes": bernoulli_sizes,
     "hash_sample": hash_sample,
     "nested_samples": nested_samples,
     "text_sink": text_sink,
@@ -212,6 +235,8 @@ ORACLES = {
     "head_sample": f"""WITH {L_SQL} SELECT l_orderkey, l_linenumber, price FROM L
         ORDER BY l_orderkey, l_linenumber, price LIMIT 100""",
     "bernoulli_sample": """SELECT CAST(f AS DOUBLE) AS fraction, (SELECT count(*) FROM lineitem) AS total_rows,
+        0 AS foreign_rows, true AS plausible, f >= 1 AS keeps_all FROM (VALUES (0.0005), (0.01), (0.05), (0.1), (0.5), (1.0)) x(f)""",
+    "bernoulli_sizes": """SELECT CAST(f AS DOUBLE) AS fraction, (SELECT count(*) FROM lineitem) AS total_rows,
         true AS plausible, f >= 1 AS keeps_all FROM (VALUES (0.0005), (0.01), (0.05), (0.1), (0.5), (1.0)) x(f)""",
     "hash_sample": f"""WITH {L_SQL} SELECT l_orderkey, l_linenumber, price FROM L WHERE {KEY_HASH} < 0.1 * 4294967296""",
     "nested_samples": f"""WITH B AS (SELECT {KEY_HASH} AS h FROM lineitem)
@@ -221,7 +246,8 @@ ORACLES = {
         f"SELECT '{name}.parquet' AS file_name, count(*) AS n_rows, true AS has_bytes FROM {name}"
         for name in TABLES
     ),
-    "text_sink": f"SELECT line FROM ({JOB_ORACLES['make_report']})",
+    "text_sink": f"""SELECT row_number() OVER (ORDER BY make_name) AS place, line
+        FROM ({JOB_ORACLES['make_report']})""",
     "table_sink": f"WITH {L_SQL} SELECT l_orderkey, l_linenumber, price, year FROM L",
     "preview": f"SELECT * FROM ({JOB_ORACLES['make_report']}) ORDER BY make_name LIMIT 10",
     "validity_funnel": f"""WITH {L_SQL},
