@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from lotwise.operators import quantiles as module
 from lotwise.operators.quantiles import medians, quantiles
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
@@ -52,6 +53,29 @@ def test_infinite_and_tiny_values(spark):
     assert tuple(medians(df, ["a", "b"]).first()) == (inf, 3e-12)
 
 
+@pytest.mark.parametrize(("size", "spread", "counted"), [(8, 0.0, 10**6), (8, 0.01, 20), (64, 0.2, 50), (8, 0.0, 0)])
+def test_exact_whatever_the_sketch_says(spark, monkeypatch, size, spread, counted):
+    for name, value in (("SKETCH_SIZE", size), ("SPREAD", spread), ("COUNTED_ROWS", counted)):
+        monkeypatch.setattr(module, name, value)
+    rng = np.random.default_rng(5)
+    check(spark, rng.normal(0, 1, 3000))
+    check(spark, [7.0] * 3000 + rng.normal(7, 1, 1500).tolist())
+    check(spark, [1.0] * 1000)
+
+
+def jobs_of(spark, run):
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(tracker.getJobIdsForGroup(group))
+
+
+def test_few_jobs(spark):
+    df = spark.range(10_000).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 7 AS INT) AS b")
+    assert jobs_of(spark, lambda: quantiles(df, ["a", "b"], [0.25, 0.5, 0.75])) <= 6
+
+
 def test_approximate_median_takes_one_scan(spark):
     df = spark.range(1001).selectExpr("CAST(id AS DOUBLE) AS a")
     approximate = medians(df, ["a"], accuracy=1000)
