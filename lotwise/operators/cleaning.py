@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotwise.functions.scalars import first_nonblank
 from lotwise.operators.profiling import is_missing, most_common, value_counts
-from lotwise.operators.quantiles import medians
+from lotwise.operators.quantiles import medians, quantile_values
 
 
 def sparse_columns(df: DataFrame, threshold: float = 0.7) -> list[str]:
@@ -88,7 +88,11 @@ def impute_median(
     if not cols:
         return df
     present = {c: F.when(~is_missing(df, c), F.col(c).cast("double")) for c in cols}
-    return _filled(df, medians(df, cols, accuracy), cols, present)
+    if accuracy:
+        return _filled(df, medians(df, cols, accuracy), cols, present)
+    middle = {c: F.lit(value) for c, _, value in quantile_values(df, cols, [0.5])}
+    none = F.lit(None).cast("double")
+    return df.withColumns({c: F.coalesce(present[c], middle.get(c, none)) for c in cols})
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:

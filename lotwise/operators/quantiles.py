@@ -144,10 +144,12 @@ def _counted(numbers: DataFrame, cols: Sequence[str], targets: list[Target]) ->
     return ends
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Rows (column, prob, value): exact quantiles, interpolated between neighbours.
+def quantile_values(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float]
+) -> list[tuple[str, float, float]]:
+    """(column, prob, value): exact quantiles, interpolated between neighbours.
 
-    A column without any number has no rows.
+    A column without any number has none.
     """
     cols, probs = list(cols), [float(p) for p in probs]
     numbers = _numbers(df, cols)
@@ -165,6 +167,12 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> Dat
             # Of equal neighbours one is the value: the difference of infinities is no number.
             rows.append((t.column, t.prob, low if low == high else low + part * (high - low)))
         open_ = missed
+    return rows
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Rows (column, prob, value), as ``quantile_values`` finds them."""
+    rows = quantile_values(df, cols, probs)
     return df.sparkSession.createDataFrame(rows, "column string, prob double, value double")
 
 
