@@ -2,12 +2,14 @@
 
 A section ends at an empty line, a paragraph at a line feed; the leaves are blocks of up to
 four words of a paragraph. A paragraph's hash covers those of its blocks, a section's those
-of its paragraphs, the root those of its sections. A fingerprint is the tree as text:
+of its paragraphs, the root those of its sections, each by whole 128-bit hashes. A
+fingerprint is the tree as text, hashes below the root cut short:
 ``root:section=paragraph,block,block;paragraph,..|section=..``. Equal texts have equal
-roots and fingerprints; unequal branches show where texts differ. The likeness of two
-fingerprints is the share of their leaves that both have.
+roots and fingerprints and unequal texts unequal roots; unequal branches show where texts
+differ. The likeness of two fingerprints is the share of their leaves that both have.
 
-Null text counts as empty and has a tree without leaves. Repeated rows each give a row.
+Null text counts as empty and has a tree without leaves. Repeated rows each give a row. A long
+text has a long fingerprint; its tree is made in the row. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,30 +29,48 @@ RANGES_PER_PARTITION = 4
 
 
 def node(children: Column) -> Column:
-    """Hash of the hashes below, as 16 hex digits."""
-    return F.substring(F.md5(F.array_join(children, ",").cast("binary")), 1, 16)
+    """Hash of the whole hashes below."""
+    return F.md5(F.array_join(children, ",").cast("binary"))
 
 
 def fingerprint(text: Column) -> Column:
-    """The Merkle tree of a text."""
+    """The Merkle tree of a text. Nodes cover whole hashes; those below the root are shown cut."""
 
     def paragraph(line: Column) -> Column:
         blocks = F.regexp_extract_all(line, F.lit(BLOCK), F.lit(0))
-        leaves = F.transform(blocks, lambda b: F.substring(F.md5(b.cast("binary")), 1, 8))
-        return F.concat(node(leaves), F.lit(","), F.array_join(leaves, ","))
+        leaves = F.array(F.transform(blocks, lambda b: F.md5(b.cast("binary"))))
+
+        def tree(of: Column) -> Column:
+            return F.struct(
+                node(of).alias("hash"),
+                F.array_join(F.transform(of, lambda x: F.substring(x, 1, 8)), ",").alias("below"),
+            )
+
+        return F.get(F.transform(leaves, tree), F.lit(0))
 
     def section(part: Column) -> Column:
         lines = F.filter(F.split(part, "\n"), lambda x: x != "")
-        made = F.transform(lines, paragraph)
-        heads = F.transform(made, lambda p: F.substring_index(p, ",", 1))
-        return F.concat(node(heads), F.lit("="), F.array_join(made, ";"))
+        trees = F.array(F.transform(lines, paragraph))
+
+        def tree(of: Column) -> Column:
+            shown = F.transform(of, lambda p: F.concat(F.substring(p["hash"], 1, 16), F.lit(","), p["below"]))
+            return F.struct(
+                node(F.transform(of, lambda p: p["hash"])).alias("hash"), F.array_join(shown, ";").alias("below")
+            )
+
+        return F.get(F.transform(trees, tree), F.lit(0))
 
     # Line feeds count for the root: it covers the layout as well as the branches.
-    made = F.transform(F.split(text, "\n\n"), section)
-    heads = F.transform(made, lambda s: F.substring_index(s, "=", 1))
     layout = F.md5(F.regexp_replace(text, "[^\n]+", "x").cast("binary"))
-    root = F.substring(F.md5(F.concat_ws(",", layout, F.array_join(heads, ",")).cast("binary")), 1, 32)
-    return F.concat(root, F.lit(":"), F.array_join(made, "|"))
+    trees = F.array(F.transform(F.split(text, "\n\n"), section))
+
+    def whole(of: Column) -> Column:
+        heads = F.array_join(F.transform(of, lambda s: s["hash"]), ",")
+        shown = F.transform(of, lambda s: F.concat(F.substring(s["hash"], 1, 16), F.lit("="), s["below"]))
+        root_ = F.md5(F.concat_ws(",", layout, heads).cast("binary"))
+        return F.concat(root_, F.lit(":"), F.array_join(shown, "|"))
+
+    return F.get(F.transform(trees, whole), F.lit(0))
 
 
 def root(print_: Column) -> Column:
@@ -136,18 +156,16 @@ def with_next(docs: DataFrame, value: str, ranges: int | None = None) -> DataFra
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_next(texts(table(spark, sf_dir, "documents")), "text")
+    docs = texts(table(spark, sf_dir, "documents"))
+    # A document's tree is made once and goes with its text to the document before it.
+    own = F.struct("text", fingerprint(F.col("text")).alias("fingerprint")).alias("own")
+    made = with_next(docs.select("doc_id", own), "own").select("doc_id", "own.*", "next_own")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
-    made = docs.withColumns({"n_chars": n.cast("long"), "edited": edited})
-    made = made.withColumns(
-        {
-            "fingerprint": fingerprint(F.col("text")),
-            "edited_fingerprint": fingerprint(F.col("edited")),
-            "_next": fingerprint(F.col("next_text")),
-        }
-    )
+    following = F.col("next_own.text")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(following, F.lit(1), half))
+    made = made.withColumns({"n_chars": n.cast("long"), "edited": edited})
+    made = made.withColumn("edited_fingerprint", fingerprint(F.col("edited")))
     return made.select(
         "doc_id",
         "n_chars",
@@ -155,7 +173,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fingerprint",
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("_next")).alias("near_next"),
+        likeness(F.col("fingerprint"), F.col("next_own.fingerprint")).alias("near_next"),
     )
 
 
@@ -165,17 +183,24 @@ def _sql_print(text: str) -> str:
     def joined(items: str, by: str) -> str:
         return f"coalesce(array_to_string({items}, '{by}'), '')"
 
-    def head(items: str, by: str) -> str:
-        return f"list_transform({items}, lambda h: split_part(h, '{by}', 1))"
+    def hashes(items: str) -> str:
+        return f"list_transform({items}, lambda t: t.hash)"
+
+    def shown(items: str, mark: str) -> str:
+        return f"list_transform({items}, lambda t: concat(t.hash[1:16], '{mark}', t.below))"
+
+    def tree(of: str, hash_: str, below: str) -> str:
+        """A struct over the list ``of``, which is named once."""
+        return f"list_transform([{of}], lambda x: {{'hash': md5({joined(hash_, ',')}), 'below': {below}}})[1]"
 
-    leaves_ = f"list_transform(regexp_extract_all(l, '{BLOCK}'), lambda b: md5(b)[1:8])"
-    paragraph = f"concat(md5({joined(leaves_, ',')})[1:16], ',', {joined(leaves_, ',')})"
+    leaves_ = f"list_transform(regexp_extract_all(l, '{BLOCK}'), lambda b: md5(b))"
+    paragraph = tree(leaves_, "x", joined("list_transform(x, lambda h: h[1:8])", ","))
     lines = "list_filter(string_split(s, chr(10)), lambda l: l <> '')"
-    made = f"list_transform({lines}, lambda l: {paragraph})"
-    section = f"concat(md5({joined(head(made, ','), ',')})[1:16], '=', {joined(made, ';')})"
+    section = tree(f"list_transform({lines}, lambda l: {paragraph})", hashes("x"), joined(shown("x", ","), ";"))
     sections = f"list_transform(string_split({text}, concat(chr(10), chr(10))), lambda s: {section})"
     layout = f"md5(regexp_replace({text}, '[^\\n]+', 'x', 'g'))"
-    return f"concat(md5(concat({layout}, ',', {joined(head(sections, '='), ',')})), ':', {joined(sections, '|')})"
+    root_ = f"md5(concat({layout}, ',', {joined(hashes('x'), ',')}))"
+    return f"list_transform([{sections}], lambda x: concat({root_}, ':', {joined(shown('x', '='), '|')}))[1]"
 
 
 def _sql_likeness(a: str, b: str) -> str:
