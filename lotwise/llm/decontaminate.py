@@ -22,10 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import map_slices, rolling, table, texts
+from lotwise.llm.common import map_slices, rolling, signed, table, texts
 
 WINDOW = 100
 #: A verbatim stretch of an item is found for certain from WINDOW + STEP - 1 characters on.
@@ -88,6 +89,10 @@ class Index:
         self.known = np.zeros(1 << FILTER_BITS, bool)
         self.known[(self.hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
         self.least = min(p.bound for p in found)
+        last = max(self.patterns) + 1
+        self.bounds, self.widths = np.full(last, np.iinfo(np.int64).max), np.ones(last, np.int64)
+        for p in found:
+            self.bounds[p.number], self.widths[p.number] = p.bound, p.edits + 1
 
     def candidates(self, text: np.ndarray) -> Iterator[tuple[Pattern, int, int]]:
         """(pattern, lowest and highest diagonal) of the bands that reach the bound."""
@@ -102,24 +107,19 @@ class Index:
             return
         total = np.concatenate([[0], np.cumsum(n)])
         hit = np.repeat(a - total[:-1], n) + np.arange(total[-1])
-        owner, diagonal = self.owner[hit], np.repeat(at, n) - self.place[hit] + WINDOW
-        for number in np.unique(owner):
-            pattern = self.patterns[int(number)]
-            own = diagonal[owner == number]
-            if len(own) < pattern.bound:
-                continue
-            # Cells of budget and one diagonals; two neighbours are a band, and bands overlap.
-            width = pattern.edits + 1
-            cells, counts = np.unique(own // width, return_counts=True)
-            following = np.searchsorted(cells, cells + 1)
-            inside = following < len(cells)
-            paired = counts.copy()
-            meets = np.zeros(len(cells), bool)
-            meets[inside] = cells[following[inside]] == cells[inside] + 1
-            paired[meets] += counts[following[meets]]
-            for cell in cells[paired >= pattern.bound]:
-                low = int(cell) * width - WINDOW
-                yield pattern, low, low + 2 * width - 1
+        # Cells of budget and one diagonals; two neighbours are a band, and bands overlap.
+        owner = self.owner[hit]
+        enough = np.bincount(owner, minlength=len(self.bounds))[owner] >= self.bounds[owner]
+        hit, owner = hit[enough], owner[enough]
+        diagonal = np.repeat(at, n)[enough] - self.place[hit] + WINDOW
+        span = np.int64(len(text) + 2 * WINDOW + 2)
+        keys, counts = np.unique(owner * span + diagonal // self.widths[owner], return_counts=True)
+        following = np.minimum(np.searchsorted(keys, keys + 1), max(len(keys) - 1, 0))
+        paired = counts + np.where(keys[following] == keys + 1, counts[following], 0)
+        for key in keys[paired >= self.bounds[keys // span]].tolist():
+            pattern, width = self.patterns[key // span], int(self.widths[key // span])
+            low = key % span * width - WINDOW
+            yield pattern, low, low + 2 * width - 1
 
 
 def aligned(pattern: np.ndarray, text: np.ndarray, budget: int) -> tuple[int, int]:
@@ -168,11 +168,15 @@ class Finder:
         ]
 
 
-FOUND = "doc_id long, item_id long, n_windows int, edits int, begin long, end long"
+FOUND = "doc_id long, item_id long, n_windows int, edits int, begin long, end long, text_hash long"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, n_windows, edits, begin, end): items of which a document holds a window."""
+    """(doc_id, item_id, n_windows, edits, begin, end, text_hash): items of which a document holds a window.
+
+    ``text_hash`` is Spark's ``xxhash64`` of the text, as ids alone don't name a row that lacks
+    one or shares it.
+    """
     spark = docs.sparkSession
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")
@@ -189,15 +193,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK
 
             def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
                 rows = [
-                    (doc_id, *match)
+                    (doc_id, *match, xxhash.xxh64_intdigest(text.encode("utf-8"), 42))
                     for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
                     for match in finder.matches(text)
                 ]
                 if not rows:
                     return None
+                *columns, hashes = zip(*rows)
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-                names = ["doc_id", "item_id", "n_windows", "edits", "begin", "end"]
-                return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
+                names = ["doc_id", "item_id", "n_windows", "edits", "begin", "end", "text_hash"]
+                arrays = [pa.array(x, k) for x, k in zip(columns, kinds)]
+                return pa.RecordBatch.from_arrays([*arrays, pa.array(signed(hashes))], names)
 
             return step
 
