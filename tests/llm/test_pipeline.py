@@ -64,3 +64,35 @@ def test_near_dedup_keeps_one_of_repeated_rows(spark, sf_dir):
     rows += [(None, "a text without an id", "en", "s", 20)] * 2 + [(None, None, None, None, None)] * 2
     got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, schema), sf_dir).collect()
     assert sorted(map(tuple, got), key=str) == sorted(set(rows), key=str)
+
+
+CLEAN = "A clean text that has nothing to do with any of the items and is long enough to stand."
+
+
+def test_decontamination_removes_the_row_and_not_its_id(spark, sf_dir):
+    item = max((r.text for r in table(spark, sf_dir, "benchmark").collect()), key=len)
+    rows = [(None, item, "en", "s", 1), (None, CLEAN, "en", "s", 2), (3, "x " + item, "en", "s", 3), (3, CLEAN, "en", "s", 4)]
+    rows += [(4, CLEAN, "en", "s", 5)] * 2 + [(5, None, "en", "s", 6), (6, item, "en", "s", 7), (6, item, "en", "s", 7)]
+    schema = table(spark, sf_dir, "documents").schema
+    got = corpus_pipeline.decontaminated(spark, spark.createDataFrame(rows, schema), sf_dir).collect()
+    assert sorted(map(tuple, got), key=str) == sorted((r for r in rows if r[1] in (CLEAN, None)), key=str)
+
+
+def test_stages_keep_columns_whatever_their_names(spark, sf_dir):
+    clashing = ["th", "key", "kept", "_id", "_th", "_n", "n_removed", "_score", "_places", "row", "text_hash", "copies", "own"]
+    docs = table(spark, sf_dir, "documents").where("doc_id < 60")
+    docs = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in clashing])
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        made = stage(spark, docs, sf_dir)
+        assert made.dtypes == docs.dtypes, name
+        rows = made.collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in clashing), name
+    assert corpus_pipeline.encoded(spark, docs, sf_dir).count() == docs.count()
+
+
+def test_quality_stage_keeps_columns(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = table(spark, sf_dir, "documents").withColumn("_score", F.lit("mine")).withColumn("row", F.lit(1))
+    made = corpus_pipeline.quality_filter(spark, docs, sf_dir)
+    assert made.dtypes == docs.dtypes
+    assert 0 < made.where("_score = 'mine' AND row = 1").count() < docs.count()

@@ -181,6 +181,24 @@ def test_fingerprints_and_branches(spark):
     assert len(value(spark, merkle.differing(F.lit(prints[6]), F.lit(prints[7])))) == 1
 
 
+def test_roots_cover_whole_hashes(spark):
+    # The 32 shown bits of their leaves are equal.
+    texts = ["w28254", "w130106"]
+    assert len({hashlib.md5(t.encode()).hexdigest()[:8] for t in texts}) == 1
+    prints = [value(spark, merkle.fingerprint(F.lit(t))) for t in texts]
+    assert prints[0] != prints[1] and prints[0].split(":")[0] != prints[1].split(":")[0]
+    assert value(spark, merkle.root(F.lit(prints[0]))) == prints[0].split(":")[0]
+
+
+def test_fingerprint_of_a_long_text(spark):
+    text = "\n\n".join(f"section {i} has\nsome words of its own {i * i}" for i in range(60_000))
+    rows = spark.createDataFrame([(1, text), (2, text), (3, text[:-1] + "x")], "doc_id long, text string")
+    got = [r.p for r in rows.select("doc_id", merkle.fingerprint(F.col("text")).alias("p")).orderBy("doc_id").collect()]
+    assert got[0] == got[1] and got[0].split(":")[0] != got[2].split(":")[0]
+    shared = set(got[0].split(":")[1].split("|")) & set(got[2].split(":")[1].split("|"))
+    assert len(shared) == 59_999
+
+
 @pytest.mark.parametrize("ranges", [1, 3, 50])
 def test_next_document(spark, ranges):
     rows = [(i * i % 101, f"t{i}") for i in range(60)] + [(None, "none"), (None, None), (5, "tie")]
