@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import map_batches, map_slices, signed, stored, table, texts, utf8
+from lotwise.llm.common import map_batches, map_slices, signed, slices, stored, table, texts, utf8
 from lotwise.llm.graph import components
 from workload.folders import work_folder
 
@@ -240,7 +240,8 @@ ROUNDS = 2
 #: Shingles that prefixes take last, and the sample that they are counted in.
 COMMON_SHINGLES = 1 << 18
 SAMPLE_TEXTS = 50_000
-SAMPLE_EVERY = 8
+#: Compressed bytes of texts that are worked on before their results go out.
+PRESSED_BYTES = 250_000
 #: Against rounding: bounds are this much too wide rather than too narrow.
 SLACK = 1e-6
 
@@ -268,12 +269,12 @@ def prefix_size(n: int, similarity: float) -> int:
 
 
 def common_shingles(whole: DataFrame) -> np.ndarray:
-    """Hashes of the shingles that most texts hold, the rarest of them first; by a sample.
+    """Hashes of the shingles that most texts hold, the rarest of them first; by a bounded sample.
 
     They only set the order in which prefixes are taken. Any order finds all pairs, this one
     with fewer texts in a bucket.
     """
-    every = min(SAMPLE_EVERY, whole.count() // SAMPLE_TEXTS + 1)
+    every = whole.count() // SAMPLE_TEXTS + 1
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
@@ -302,7 +303,7 @@ def signatures(whole: DataFrame, similarity: float, folder: str | None = None) -
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
         known, ranks = shared.value
-        for batch in batches:
+        for batch in (piece for whole_batch in batches for piece in slices(whole_batch, "z", PRESSED_BYTES)):
             th, fps, sizes, keys, prefixes = [], [], [], [], []
             for own, z in zip(batch.column("th").to_pylist(), batch.column("z")):
                 hashes = shingle_hashes(unpress.decompress(z.as_py()), SIMILAR_WORDS)
@@ -470,7 +471,7 @@ def verified(pairs: DataFrame, texts_: DataFrame, similarity: float) -> DataFram
         def shingles(z) -> np.ndarray:
             return np.unique(shingle_hashes(unpress.decompress(z.as_py()), SIMILAR_WORDS))
 
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in slices(whole, "za", PRESSED_BYTES)):
             near = []
             for za, zb in zip(batch.column("za"), batch.column("zb")):
                 a, b = shingles(za), shingles(zb)
