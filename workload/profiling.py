@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lotwise.operators import profiling
+from lotwise.operators import frequent, profiling
 from workload.views import M_SQL, X_SQL, dirty_listings, metric_table, table
 
 
@@ -34,7 +34,19 @@ def placeholder_report(spark, sf):
     return rounded(profiling.placeholder_report(orders), "pct")
 
 
+FREQUENT = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_suppkey", "l_comment_like"]
+
+
+def frequent_values(spark, sf):
+    """The most frequent value of columns with few, many and blank values."""
+    rows = table(spark, sf, "lineitem").withColumn(
+        "l_comment_like", F.when(F.col("l_orderkey") % 4 == 0, "").otherwise(F.concat("l_returnflag", "l_linenumber"))
+    )
+    return frequent.most_frequent(rows, FREQUENT)
+
+
 QUERIES = {
+    "frequent_values": frequent_values,
     "table_shape": lambda spark, sf: profiling.table_shape(table(spark, sf, "orders")),
     "column_info": lambda spark, sf: profiling.column_info(dirty_listings(spark, sf)),
     "describe_numeric": lambda spark, sf: rounded(
@@ -58,7 +70,17 @@ def _union(rows):
     return " UNION ALL ".join(rows)
 
 
+_FREQUENT_VALUES = {c: c for c in FREQUENT} | {
+    "l_quantity": "printf('%.1f', l_quantity)",
+    "l_comment_like": "CASE WHEN l_orderkey % 4 <> 0 THEN concat(l_returnflag, l_linenumber) END",
+}
+
 ORACLES = {
+    "frequent_values": _union(
+        f"""(SELECT '{c}' AS "column", CAST({v} AS VARCHAR) AS top, count(*) AS n FROM lineitem
+        WHERE {v} IS NOT NULL GROUP BY 2 ORDER BY n DESC, top LIMIT 1)"""
+        for c, v in _FREQUENT_VALUES.items()
+    ),
     "table_shape": "SELECT count(*) AS n_rows, 6 AS n_columns FROM orders",
     "column_info": f"WITH {X_SQL} "
     + _union(
