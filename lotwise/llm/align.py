@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm.chunk_bpe import byte_values, encoding
-from lotwise.llm.common import map_batches, map_slices, slices, stored, table, texts
+from lotwise.llm.common import Stretch, map_batches, map_slices, slices, stored, table, texts
 from workload.folders import work_folder
 
 #: Pairs of a slice travel in rows of at most so many.
@@ -91,27 +91,6 @@ class PieceTokens:
         return b"".join(map(self.bytes.__getitem__, ids)) == b" " + text.encode("utf-8")
 
 
-class Stretch:
-    """Growing flat store of runs of ids."""
-
-    def __init__(self):
-        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
-
-    def add(self, flat: np.ndarray, sizes: np.ndarray) -> None:
-        used, more = int(self.ends[-1]), len(flat)
-        if used + more > len(self.flat):
-            self.flat = np.concatenate([self.flat[:used], np.zeros(used + 2 * more, np.int32)])
-        self.flat[used : used + more] = flat
-        self.ends = np.concatenate([self.ends, used + np.cumsum(sizes, dtype=np.int64)])
-
-    def runs(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of these runs in a row, and the size of each run."""
-        begins = self.ends[which]
-        sizes = self.ends[which + 1] - begins
-        upto = np.cumsum(sizes)
-        return self.flat[np.arange(upto[-1] if len(upto) else 0) + np.repeat(begins - upto + sizes, sizes)], sizes
-
-
 class BothCoders:
     """Ids of texts under both tokenizers.
 

@@ -17,6 +17,7 @@ import functools
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -31,13 +32,15 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lotwise.llm.chunk_bpe import byte_values
-from lotwise.llm.common import map_batches, slices, table, texts
+from lotwise.llm.common import Stretch, map_batches, slices, table, texts
 from lotwise.session import shared_path
 from workload.folders import work_folder
 
 SHARD_TOKENS = 1 << 22
 COUNT_EVERY = 512
 END_ID = 1
+#: A task keeps the ids of so many words; beyond that it starts anew.
+KNOWN_WORDS = 400_000
 
 #: Words for which splitting and lower case need no more than these rules: ASCII and
 #: precomposed Latin letters. All other words go through the tokenizer itself.
@@ -49,7 +52,7 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 class WordCoder:
     """Ids of texts under a vocabulary with word ends, where white space only separates.
 
-    Each distinct word of a batch is encoded once. Line feed stands for the end of a word,
+    Each distinct word is encoded once for as long as a bounded store keeps it. Line feed stands for the end of a word,
     which no word can hold, so that the merges become those of a plain byte vocabulary.
     """
 
@@ -71,6 +74,8 @@ class WordCoder:
         )
         self.ends = np.zeros(max(ranks.values()) + 1, bool)
         self.ends[[i for raw, i in ranks.items() if raw.endswith(b"\n") and raw != b"\n"]] = True
+        self.index: dict[str, int] = {}
+        self.store = Stretch()
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and where each word's ids begin."""
@@ -109,11 +114,26 @@ class WordCoder:
         coded = lists.flatten().dictionary_encode()
         edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         codes = coded.indices.to_numpy()
-        flat, begins = self.words(coded.dictionary.to_pylist())
-        sizes = np.diff(begins)[codes]
+        flat, sizes = self.known_words(coded.dictionary.to_pylist(), codes)
         upto = np.concatenate([[0], np.cumsum(sizes)])
-        places = np.repeat(begins[:-1][codes] - upto[:-1], sizes) + np.arange(upto[-1])
-        return flat[places], np.diff(upto[edges])
+        return flat.astype(np.uint32), np.diff(upto[edges])
+
+    def known_words(self, words: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words that ``codes`` names, in a row, and the size of each.
+
+        Words of earlier batches of a task are taken from a store, up to a bound.
+        """
+        if len(self.index) + len(words) > KNOWN_WORDS:
+            self.index, self.store = {}, Stretch()
+        places = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = [words[i] for i in missing.tolist()]
+            places[missing] = len(self.index) + np.arange(len(new))
+            self.index.update(zip(new, places[missing].tolist()))
+            flat, begins = self.words(new)
+            self.store.add(flat.astype(np.int32), np.diff(begins))
+        return self.store.runs(places[codes])
 
 
 @functools.lru_cache(maxsize=2)
@@ -278,6 +298,8 @@ def write_tokens(
                     flat = np.insert(flat, np.cumsum(lengths), end_id)
                     lengths = lengths + 1
                 edges = np.concatenate([[0], np.cumsum(lengths)])
+                if len(flat) and flat.max() >= 1 << 16:
+                    raise ValueError("shards hold ids below 65536")
                 flat = flat.astype(np.uint16)
                 for i, doc_id in enumerate(piece.column("doc_id").to_pylist()):
                     parts.append(flat[edges[i] : edges[i + 1]])
