@@ -10,7 +10,8 @@ shards, each shard gets a Burrows-Wheeler transform, and the transforms are merg
 refining the interleave: it starts in shard order, and each round takes one more leading
 byte into account by passing the interleave once through the symbols of the transforms. No
 suffix is compared or sorted again. Where a border between neighbours appears in round k,
-they have k - 1 bytes in common; after ``n`` rounds the intervals without a border are the
+they have k - 1 bytes in common; a suffix with borders on both sides has its place, and the
+next rounds pass only the others. After ``n`` rounds the intervals without a border are the
 repeated windows, and of each interval all but its first window go.
 
 Seeds with more spans than a bucket may hold have their single windows compared by 128 bits
@@ -43,8 +44,8 @@ BYTES = 100
 BUCKET_SPANS = 4096
 BUCKET_BYTES = 1 << 17
 SHARDS = 2
-#: Rounds of a merge between looks at whether it is done.
-LOOK_EVERY = 10
+#: Symbols of nine bits that sort as one integer.
+PACKED = 7
 
 
 def byte_windows(raw: bytes, n: int) -> Windows:
@@ -86,24 +87,39 @@ def spans_of(docs: DataFrame, n: int) -> DataFrame:
 def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Suffix array of a collection: ``text`` holds bytes + 1, and 0 at ``ends``.
 
-    The terminators differ, the one of an earlier member is smaller. By doubling.
+    The terminators differ, the one of an earlier member is smaller. By doubling from
+    ``PACKED`` symbols on; a suffix that differs from its neighbours is not looked at again.
     """
-    n, m = len(text), len(ends)
-    rank = text.astype(np.int64) + m
-    rank[ends] = np.arange(m)
-    span = 1
-    while True:
-        nxt = np.full(n, -1, np.int64)
-        nxt[:-span or None] = rank[span:]
-        key = rank * (n + m + 258) + nxt + 1
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        fresh = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        if fresh[-1] == n - 1:
-            return order
-        span *= 2
+    n = len(text)
+    sizes = np.diff(ends, prepend=-1)
+    left = np.repeat(ends, sizes) - np.arange(n)  # symbols before the terminator
+    padded = np.concatenate([text.astype(np.int64), np.zeros(PACKED, np.int64)])
+    key = np.zeros(n, np.int64)
+    for k in range(PACKED):
+        key = key << 9 | np.where(left >= k, padded[k : k + n], 0)
+    order = np.argsort(key, kind="stable")
+    # A key that holds a terminator is that of one suffix; equal ones are in member order.
+    fresh = left[order] < PACKED
+    fresh[0] = True
+    fresh[1:] |= np.diff(key[order]) != 0
+    slots, span = np.arange(n), PACKED
+    rank = np.empty(n, np.int64)
+    rank[order] = slots[fresh][np.cumsum(fresh) - 1]
+    slots = slots[~alone(fresh)]
+    while len(slots):
+        same = order[slots]
+        key = rank[same] * n + rank[same + span]
+        by = np.argsort(key, kind="stable")
+        same, fresh = same[by], np.diff(key[by], prepend=-1) != 0
+        order[slots] = same
+        rank[same] = slots[fresh][np.cumsum(fresh) - 1]
+        slots, span = slots[~alone(fresh)], 2 * span
+    return order
+
+
+def alone(border: np.ndarray) -> np.ndarray:
+    """Which places have a border on both sides."""
+    return border & np.append(border[1:], True)
 
 
 class Shard:
@@ -128,34 +144,36 @@ class Shard:
 
 
 def merged(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge transforms: (interleave, borders after ``rounds`` rounds).
+    """Merge transforms: (suffixes, interval) of what shares its first ``rounds`` symbols.
 
-    The interleave names the shard of each suffix in sorted order; the suffixes of a shard
-    keep their order. A border is set where a suffix and the one before it differ in their
-    first ``rounds`` symbols.
+    The suffixes are in sorted order, each as its place in the transforms laid end to end;
+    those of a shard keep their order. One that differs from both neighbours has its place
+    and leaves the interleave: what stands a symbol to the left of it differs as well.
     """
     sizes = [len(s.transform) for s in shards]
-    total = sum(sizes)
-    stops = np.repeat(np.arange(len(shards)), [s.members for s in shards]).astype(np.uint8)
-    interleave = np.repeat(np.arange(len(shards)), sizes).astype(np.uint8)
-    block = np.zeros(total, np.int32)
-    symbols = np.empty(total, np.uint8)
-    border = np.zeros(total, bool)
+    symbols = np.concatenate([s.transform for s in shards])
+    # The suffix a symbol longer, whose first symbol is the one of the transform.
+    longer, leading = np.empty(len(symbols), np.intp), np.empty_like(symbols)
+    for begin, shard in zip(np.cumsum([0, *sizes]).tolist(), shards):
+        order = np.argsort(shard.transform, kind="stable")
+        longer[begin + order] = np.arange(begin, begin + len(order))
+        leading[begin : begin + len(order)] = shard.transform[order]
+    # First round: shards in order within each leading symbol.
+    suffixes = np.argsort(leading, kind="stable")
+    interval = np.zeros(len(symbols), np.int32)
+    symbol = leading.take(suffixes)
     for done in range(1, rounds + 1):
-        for i, shard in enumerate(shards):
-            symbols[interleave == i] = shard.transform
-        order = np.argsort(symbols, kind="stable")
-        symbol, came = symbols[order], block[order]
-        border = np.ones(total, bool)
-        border[1:] = (symbol[1:] != symbol[:-1]) | (came[1:] != came[:-1])
-        nxt = interleave[order]
-        nxt[: len(stops)] = stops  # terminators stand in shard order and are all different
-        border[: len(stops) + 1] = True
-        fresh = np.cumsum(border, dtype=np.int32)
-        if done % LOOK_EVERY == 0 and np.array_equal(nxt, interleave) and np.array_equal(fresh, block):
-            break  # no further round changes anything
-        interleave, block = nxt, fresh
-    return interleave, border
+        if done > 1:
+            symbol = symbols.take(suffixes)
+            order = np.argsort(symbol, kind="stable")
+            symbol, interval = symbol.take(order), interval.take(order)
+            suffixes = longer.take(suffixes.take(order))
+        border = symbol == 0  # terminators are all different
+        border[:1] = True
+        border[1:] |= (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])
+        left = np.flatnonzero(~alone(border))
+        suffixes, interval = suffixes.take(left), np.cumsum(border, dtype=np.int32).take(left)
+    return suffixes, interval
 
 
 def repeated_starts(members: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,19 +184,18 @@ def repeated_starts(members: list[bytes], n: int) -> tuple[np.ndarray, np.ndarra
     count = max(1, min(SHARDS, len(members)))
     dealt = [range(i, len(members), count) for i in range(count)]
     shards = [Shard([members[k] for k in mine]) for mine in dealt]
-    interleave, border = merged(shards, n)
-    member, offset = np.empty(len(border), np.int64), np.empty(len(border), np.int64)
+    # A window that held a terminator would be alone, so those left are whole.
+    found, interval = merged(shards, n)
+    begins = np.cumsum([0, *(len(s.transform) for s in shards)])
+    which = np.searchsorted(begins, found, side="right") - 1
+    member, offset = np.empty(len(found), np.int64), np.empty(len(found), np.int64)
     for i, (shard, mine) in enumerate(zip(shards, dealt)):
-        own = np.searchsorted(shard.begins, shard.order, side="right") - 1
-        here = interleave == i
+        here = which == i
+        start = shard.order[found[here] - begins[i]]
+        own = np.searchsorted(shard.begins, start, side="right") - 1
         member[here] = np.array(mine)[own]
-        offset[here] = shard.order - shard.begins[own]
-    sizes = np.fromiter(map(len, members), np.int64, len(members))
-    full = offset + n <= sizes[member]  # suffixes that are long enough to be windows
-    block = np.cumsum(border) - 1
-    often = np.bincount(block[full], minlength=block[-1] + 1)[block] > 1
-    keep = full & often
-    return block[keep], member[keep], offset[keep]
+        offset[here] = start - shard.begins[own]
+    return interval, member, offset
 
 
 # --- The search -----------------------------------------------------------------------------
