@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import map_batches, map_slices, mixed, packed, rolling, signed
+from lotwise.llm.common import SLICE_BYTES, map_batches, map_slices, mixed, packed, rolling, signed
 from lotwise.llm.common import stored, table, text_hash, utf8
 from lotwise.llm.doubling import NULL_ID, Levels, Windows, keyed, windows
 from workload.folders import work_folder
@@ -48,16 +48,23 @@ SHARDS = 2
 PACKED = 7
 
 
+def hashed_bytes(raw: bytes) -> np.ndarray:
+    return mixed(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1))
+
+
 def byte_windows(raw: bytes, n: int) -> Windows:
-    return windows(mixed(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)), Levels(n), extend=False)
+    return windows(hashed_bytes(raw), Levels(n), extend=False)
 
 
 def spans_of(docs: DataFrame, n: int) -> DataFrame:
-    """(seed, whole, place, key, th): each seed with a hash of the bytes its windows cover."""
+    """(seed, whole, first, more, key, th): each seed with a hash of the bytes its windows cover.
+
+    ``first`` is its first window, which no other seed of the text has, ``more`` how many follow it.
+    """
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            out: list[list[np.ndarray]] = [[] for _ in range(5)]
+            out: list[list[np.ndarray]] = [[] for _ in range(6)]
             for key, raw in zip(batch.column("key").to_pylist(), utf8(batch.column("text"))):
                 w = byte_windows(raw, n)
                 if not len(w.seeds):
@@ -66,19 +73,19 @@ def spans_of(docs: DataFrame, n: int) -> DataFrame:
                 whole = signed([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in ends])
                 size = len(w.seeds)
                 values = (
-                    w.seed_hashes[w.seeds].view(np.int64), whole, w.seeds.astype(np.int32),
-                    np.full(size, key), np.full(size, text_hash(raw)),
+                    w.seed_hashes[w.seeds].view(np.int64), whole, w.first.astype(np.int32),
+                    (w.last - w.first).astype(np.int32), np.full(size, key), np.full(size, text_hash(raw)),
                 )
                 for have, value in zip(out, values):
                     have.append(value)
             if not out[0]:
                 return None
-            names = ["seed", "whole", "place", "key", "th"]
+            names = ["seed", "whole", "first", "more", "key", "th"]
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names)
 
         return step
 
-    return map_slices(keyed(docs), make, "seed long, whole long, place int, key long, th long")
+    return map_slices(keyed(docs), make, "seed long, whole long, first int, more int, key long, th long")
 
 
 # --- Burrows-Wheeler transforms of small collections ----------------------------------------
@@ -204,11 +211,12 @@ SPELT = "seed long, span binary, h1 long, h2 long, key long, th long, start int"
 
 
 def repeats(docs: DataFrame, whole: DataFrame, n: int, folder: str | None) -> DataFrame:
-    """(key, th, all_of, starts): seeds whose windows all occur earlier, and single windows."""
-    seeds = spans_of(docs, n)
+    """(key, th, all_of, starts): runs of windows that all occur earlier, and single windows."""
+    seeds = stored(spans_of(docs, n), "all-spans", folder)
     again = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
-    open_seeds = stored(seeds.join(again, "seed"), "open-spans", folder)
-    place = F.struct("key", "th", "place")
+    # Stored first, so that a hot seed can be split in the join.
+    open_seeds = stored(seeds.join(stored(again, "open-seeds", folder), "seed"), "open-spans", folder)
+    place = F.struct("key", "th", "first", "more")
     same = stored(
         open_seeds.groupBy("seed", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one")),
         "spans",
@@ -216,12 +224,12 @@ def repeats(docs: DataFrame, whole: DataFrame, n: int, folder: str | None) -> Da
     )
     later = open_seeds.join(same.where("n > 1").select("seed", "whole", "one"), ["seed", "whole"])
     later = later.where(~place.eqNullSafe(F.col("one")))
-    settled = later.groupBy("key", "th").agg(F.collect_set("place").alias("all_of"))
+    settled = later.groupBy("key", "th").agg(F.collect_set(F.struct("first", "more")).alias("all_of"))
     sizes = same.groupBy("seed").agg(F.count(F.lit(1)).alias("spans")).where("spans > 1")
     ones = same.join(sizes, "seed").select(
         "seed", "one.*", (F.col("spans") > BUCKET_SPANS).alias("large")
     )
-    wanted = ones.groupBy("key", "th").agg(F.collect_list(F.struct("place", "seed", "large")).alias("open"))
+    wanted = ones.groupBy("key", "th").agg(F.collect_list(F.struct("first", "more", "seed", "large")).alias("open"))
     # Repeated rows are spelt once, or one of them would count as earlier than the other.
     rows = whole.join(wanted, ["key", "th"]).select("key", "th", "z", "open").dropDuplicates(["key", "th"])
     spelt = stored(map_batches(rows, _spell(n), SPELT), "spelt-spans", folder)
@@ -238,44 +246,58 @@ def repeats(docs: DataFrame, whole: DataFrame, n: int, folder: str | None) -> Da
     return settled.join(starts, ["key", "th"], "full")
 
 
+def _fields(column: pa.Array, row: int) -> list[np.ndarray]:
+    """The fields of a list of structs, null as empty."""
+    if not column[row].is_valid:
+        return [np.zeros(0, np.int64) for _ in range(column.type.value_type.num_fields)]
+    return [x.to_numpy(zero_copy_only=False) for x in column[row].values.flatten()]
+
+
 def _spell(n: int):
     """The bytes of each open span, or the hashes of its windows."""
+    none = np.zeros(0, np.int64)
+
+    def batch_of(parts: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+        names = ["seed", "span", "h1", "h2", "key", "th", "start"]
+        seeds, spans, one, two, keys, ths, starts = zip(*parts)
+        flat = [np.concatenate(seeds), [x for some in spans for x in some], *map(np.concatenate, (one, two, keys, ths, starts))]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(flat, kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
-            for i in range(batch.num_rows):
-                raw = unpress.decompress(batch.column("z")[i].as_py())
-                w = byte_windows(raw, n)
-                at = dict(zip(w.seeds.tolist(), zip(w.first.tolist(), w.last.tolist())))
-                seeds, spans, starts = [], [], []
-                singles: list[np.ndarray] = []
-                for seed in batch.column("open")[i].as_py():
-                    a, b = at[seed["place"]]
-                    if seed["large"]:
-                        singles.append(np.arange(a, b + 1))
-                    else:
-                        seeds.append(seed["seed"])
-                        spans.append(raw[a : b + n])
-                        starts.append(a)
-                spots = np.concatenate([np.zeros(0, np.int64), *singles])
-                one = two = np.zeros(0, np.int64)
-                if len(spots):
-                    one, two = (rolling(x, n)[spots].view(np.int64) for x in (w.hashes, mixed(w.hashes)))
-                size, extra = len(seeds) + len(spots), len(spots)
-                key, th = (batch.column(c)[i].as_py() for c in ("key", "th"))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(seeds + [0] * extra, pa.int64()),
-                        pa.array(spans + [None] * extra, pa.binary()),
-                        pa.array(np.concatenate([np.zeros(len(seeds), np.int64), one])),
-                        pa.array(np.concatenate([np.zeros(len(seeds), np.int64), two])),
-                        pa.array(np.full(size, key, np.int64)),
-                        pa.array(np.full(size, th, np.int64)),
-                        pa.array(starts + spots.tolist(), pa.int32()),
-                    ],
-                    ["seed", "span", "h1", "h2", "key", "th", "start"],
+            keys, ths, zs = (batch.column(c).to_pylist() for c in ("key", "th", "z"))
+            parts, held = [], 0
+            for i, (key, th, z) in enumerate(zip(keys, ths, zs)):
+                raw = unpress.decompress(z)
+                first, more, seed, large = _fields(batch.column("open"), i)
+                small = ~large
+                spans = [raw[a : a + m + n] for a, m in zip(first[small].tolist(), more[small].tolist())]
+                spots, one, two = none, none, none
+                if large.any():
+                    runs = zip(first[large].tolist(), more[large].tolist())
+                    spots = np.concatenate([np.arange(a, a + m + 1) for a, m in runs])
+                    hashes = hashed_bytes(raw)
+                    one, two = (rolling(x, n)[spots].view(np.int64) for x in (hashes, mixed(hashes)))
+                void, size = np.zeros(len(spans), np.int64), len(spans) + len(spots)
+                parts.append(
+                    (
+                        np.concatenate([seed[small], np.zeros(len(spots), np.int64)]),
+                        spans + [None] * len(spots),
+                        np.concatenate([void, one]),
+                        np.concatenate([void, two]),
+                        np.full(size, key),
+                        np.full(size, th),
+                        np.concatenate([first[small], spots]),
+                    )
                 )
+                held += sum(map(len, spans)) + 40 * size
+                if held >= SLICE_BYTES:
+                    yield batch_of(parts)
+                    parts, held = [], 0
+            if parts:
+                yield batch_of(parts)
 
     return run
 
@@ -332,33 +354,36 @@ def drop_repeats(docs: DataFrame, n: int = BYTES, folder: str | None = None) ->
     found = stored(repeats(docs, whole, n, folder), "byte-repeats", folder)
     rows = whole.join(found, ["key", "th"], "left").select("doc_id", "z", "all_of", "starts")
 
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], names)
+
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                raw = unpress.decompress(batch.column("z")[i].as_py())
-                all_of, starts = (batch.column(c)[i].as_py() or [] for c in ("all_of", "starts"))
-                doc_id, removed, runs = batch.column("doc_id")[i].as_py(), 0, 0
-                if all_of or starts:
-                    w = byte_windows(raw, n)
+            out, held = [], 0
+            for i, (doc_id, z) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("z").to_pylist())):
+                raw = kept = unpress.decompress(z)
+                removed = runs = 0
+                first, more = _fields(batch.column("all_of"), i)
+                starts = batch.column("starts")[i].as_py() or []
+                if len(first) or starts:
                     change = np.zeros(len(raw) + 1, np.int64)
-                    hit = np.isin(w.seeds, all_of)
-                    np.add.at(change, w.first[hit], 1)
-                    np.add.at(change, w.last[hit] + n, -1)
                     spots = np.array(starts, np.int64)
-                    np.add.at(change, spots, 1)
-                    np.add.at(change, spots + n, -1)
+                    np.add.at(change, np.concatenate([first, spots]), 1)
+                    np.add.at(change, np.concatenate([first + more, spots]) + n, -1)
                     gone = np.cumsum(change[:-1]) > 0
                     removed = int(gone.sum())
                     runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                     kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                else:
-                    kept = raw
                 out.append((doc_id, len(raw), removed, runs, kept))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], names)
+                held += len(kept)
+                if held >= SLICE_BYTES:
+                    yield batch_of(out)
+                    out, held = [], 0
+            if out:
+                yield batch_of(out)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     return map_batches(rows, remove, schema)
