@@ -8,10 +8,10 @@ what may hold repeats: of equal spans the first goes on for all, the rest are re
 The different spans of the seeds of a bucket are the text of the bucket. They are dealt to
 shards, each shard gets a Burrows-Wheeler transform, and the transforms are merged by
 refining the interleave: it starts in shard order, and each round takes one more leading
-byte into account by passing the interleave once through the symbols of the transforms. No
-suffix is compared or sorted again. Where a border between neighbours appears in round k,
+byte into account by passing the interleave once through the symbols of the transforms, or
+eight bytes by following the transforms eight times. No suffix is compared or sorted again. Where a border between neighbours appears in round k,
 they have k - 1 bytes in common; a suffix with borders on both sides has its place, and the
-next rounds pass only the others. After ``n`` rounds the intervals without a border are the
+next rounds pass only the others, interval by interval. After ``n`` rounds the intervals without a border are the
 repeated windows, and of each interval all but its first window go.
 
 Seeds with more spans than a bucket may hold have their single windows compared by 128 bits
@@ -46,6 +46,8 @@ BUCKET_BYTES = 1 << 17
 SHARDS = 2
 #: Symbols of nine bits that sort as one integer.
 PACKED = 7
+#: Rounds of a merge in one pass, at most 8: so many symbols fit an integer.
+AT_ONCE = 8
 
 
 def hashed_bytes(raw: bytes) -> np.ndarray:
@@ -151,36 +153,51 @@ class Shard:
 
 
 def merged(shards: list[Shard], rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge transforms: (suffixes, interval) of what shares its first ``rounds`` symbols.
-
-    The suffixes are in sorted order, each as its place in the transforms laid end to end;
-    those of a shard keep their order. One that differs from both neighbours has its place
-    and leaves the interleave: what stands a symbol to the left of it differs as well.
+    """Merge transforms: (suffixes, first) of what shares its first ``rounds`` symbols.
+
+    The suffixes stand interval by interval, each as its place in the transforms laid end to
+    end; ``first`` marks the first of an interval, in which shards and their suffixes are in
+    order. Up to ``AT_ONCE`` rounds are taken in one pass through the transforms. A suffix
+    that differs from both neighbours has its place and leaves the interleave: what stands a
+    symbol to the left of it differs as well. An interval whose suffixes all follow the same
+    symbols moves on as it is.
     """
     sizes = [len(s.transform) for s in shards]
     symbols = np.concatenate([s.transform for s in shards])
-    # The suffix a symbol longer, whose first symbol is the one of the transform.
-    longer, leading = np.empty(len(symbols), np.intp), np.empty_like(symbols)
+    longer = np.empty(len(symbols), np.intp)  # the suffix a symbol longer
     for begin, shard in zip(np.cumsum([0, *sizes]).tolist(), shards):
         order = np.argsort(shard.transform, kind="stable")
         longer[begin + order] = np.arange(begin, begin + len(order))
-        leading[begin : begin + len(order)] = shard.transform[order]
-    # First round: shards in order within each leading symbol.
-    suffixes = np.argsort(leading, kind="stable")
-    interval = np.zeros(len(symbols), np.int32)
-    symbol = leading.take(suffixes)
-    for done in range(1, rounds + 1):
-        if done > 1:
-            symbol = symbols.take(suffixes)
-            order = np.argsort(symbol, kind="stable")
-            symbol, interval = symbol.take(order), interval.take(order)
-            suffixes = longer.take(suffixes.take(order))
-        border = symbol == 0  # terminators are all different
+    # The last 1, 2, 4, .. symbols in front of each suffix, whether a terminator is one of
+    # them, and the suffix that starts with them.
+    passes = [(1, symbols.astype(np.uint64), symbols == 0, longer)]
+    while 2 * passes[-1][0] <= AT_ONCE:
+        span, front, ended, longer = passes[-1]
+        both = front | front.take(longer) << np.uint64(8 * span)
+        passes.append((2 * span, both, ended | ended.take(longer), longer.take(longer)))
+    suffixes, first = np.arange(len(symbols)), np.zeros(len(symbols), bool)
+    first[:1] = True
+    done = 0
+    while done < rounds and len(suffixes):
+        span, front, ended, longer = next(x for x in reversed(passes) if done + x[0] <= rounds)
+        done += span
+        key, alone_now = front.take(suffixes), ended.take(suffixes)
+        suffixes = longer.take(suffixes)
+        divides = alone_now.copy()  # terminators are all different
+        divides[1:] |= (key[1:] != key[:-1]) & ~first[1:]
+        interval = np.cumsum(first, dtype=np.int32) - 1
+        hit = np.zeros(interval[-1] + 1, bool)
+        hit[interval[divides]] = True
+        divided = hit.take(interval)
+        part, rest = np.flatnonzero(divided), np.flatnonzero(~divided)
+        part = part[np.argsort(key[part], kind="stable")]
+        border = alone_now[part]
         border[:1] = True
-        border[1:] |= (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])
+        border[1:] |= (key[part[1:]] != key[part[:-1]]) | (interval[part[1:]] != interval[part[:-1]])
         left = np.flatnonzero(~alone(border))
-        suffixes, interval = suffixes.take(left), np.cumsum(border, dtype=np.int32).take(left)
-    return suffixes, interval
+        suffixes = np.concatenate([suffixes.take(rest), suffixes.take(part.take(left))])
+        first = np.concatenate([first.take(rest), border.take(left)])
+    return suffixes, first
 
 
 def repeated_starts(members: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,7 +209,7 @@ def repeated_starts(members: list[bytes], n: int) -> tuple[np.ndarray, np.ndarra
     dealt = [range(i, len(members), count) for i in range(count)]
     shards = [Shard([members[k] for k in mine]) for mine in dealt]
     # A window that held a terminator would be alone, so those left are whole.
-    found, interval = merged(shards, n)
+    found, first = merged(shards, n)
     begins = np.cumsum([0, *(len(s.transform) for s in shards)])
     which = np.searchsorted(begins, found, side="right") - 1
     member, offset = np.empty(len(found), np.int64), np.empty(len(found), np.int64)
@@ -202,7 +219,7 @@ def repeated_starts(members: list[bytes], n: int) -> tuple[np.ndarray, np.ndarra
         own = np.searchsorted(shard.begins, start, side="right") - 1
         member[here] = np.array(mine)[own]
         offset[here] = start - shard.begins[own]
-    return interval, member, offset
+    return np.cumsum(first), member, offset
 
 
 # --- The search -----------------------------------------------------------------------------

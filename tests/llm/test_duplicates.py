@@ -279,11 +279,28 @@ def test_repeated_rows_keep_their_bytes(spark, tmp_path, monkeypatch, spans):
     assert Counter(digests) == Counter(plain_bytes(rows, 40))
 
 
-def test_merged_transforms_give_the_repeats():
+def test_suffixes_of_a_collection_are_in_order():
+    rng = random.Random(6)
+    for _ in range(40):
+        members = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 40))) for _ in range(rng.randint(1, 9))]
+        members += [b"a" * 70, b"", b"a" * 70]
+        text = np.concatenate([np.append(np.frombuffer(x, np.uint8) + 1, np.uint8(0)) for x in members])
+        ends = np.flatnonzero(text == 0)
+        # Each terminator as a pair, the earlier the smaller.
+        spelt = [(int(c), 0) if c else (0, i) for i, c in enumerate(text)]
+        plain = sorted(range(len(text)), key=lambda i: spelt[i : int(ends[np.searchsorted(ends, i)]) + 1])
+        assert bwt_merge.suffix_order(text, ends).tolist() == plain
+
+
+@pytest.mark.parametrize("longest, at_once", [(8, 1), (8, 8), (40, 4), (40, 8)])
+def test_merged_transforms_give_the_repeats(monkeypatch, longest, at_once):
+    monkeypatch.setattr(bwt_merge, "AT_ONCE", at_once)
     rng = random.Random(5)
     for _ in range(60):
-        members = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 30))) for _ in range(rng.randint(1, 12))]
-        n = rng.randint(1, 8)
+        size = rng.randint(1, 12)
+        members = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 30))) for _ in range(size)]
+        members += [x + members[0] * rng.randint(0, 3) + x for x in members[:3]]
+        n = rng.randint(1, longest)
         places = defaultdict(set)
         for k, raw in enumerate(members):
             for s in range(len(raw) - n + 1):
