@@ -8,6 +8,7 @@ where the tokens must break, and what lies between is encoded again, until both
 agree with the tokens the chunks have.
 
 Null text counts as empty. Empty texts have no tokens. Rows may repeat; each gives a row.
+Time is linear in the length of a text; a text is held by one task.
 """
 
 from __future__ import annotations
@@ -91,72 +92,108 @@ def cut(raw: bytes, bits: int = CHUNK_BITS) -> list[int]:
     return [*ends.tolist(), n]
 
 
-def breaks_before(raw: bytes, end: int) -> int:
-    """The last place before ``end`` where tokens must break, 0 if there is none.
+def breaks(raw: bytes) -> np.ndarray:
+    """The places where tokens must break, whatever stands around them.
 
     Tokens break between a visible ASCII character and a space or line feed: white space
     only starts a token or fills one.
     """
-    while end > 0:
-        end = max(raw.rfind(b" ", 0, end), raw.rfind(b"\n", 0, end))
-        if end <= 0:
-            return 0
-        if 0x21 <= raw[end - 1] <= 0x7E:
-            return end
-    return 0
-
-
-def breaks_after(raw: bytes, start: int) -> int:
-    """The first such place from ``start`` on, the length of the text if there is none."""
+    data = np.frombuffer(raw, np.uint8)
+    space = (data[1:] == 0x20) | (data[1:] == 0x0A)
+    return np.flatnonzero(space & (data[:-1] >= 0x21) & (data[:-1] <= 0x7E)) + 1
+
+
+def take_last(runs: list[np.ndarray], count: int) -> np.ndarray:
+    """Remove the last ``count`` ids from ``runs`` and return them, fewer if there are no more."""
+    taken = []
+    while count and runs:
+        run = runs.pop()
+        if len(run) > count:
+            runs.append(run[: len(run) - count])
+            run = run[len(run) - count :]
+        taken.append(run)
+        count -= len(run)
+    return np.concatenate(taken[::-1]) if taken else np.zeros(0, np.uint32)
+
+
+def add_piece(
+    runs: list[np.ndarray],
+    raw: bytes,
+    places: np.ndarray,
+    span: tuple[int, int],
+    ids: np.ndarray,
+    code: Callable[[bytes], np.ndarray],
+) -> None:
+    """Add the ids of the piece ``span`` of ``raw`` to ``runs``, the ids of all before it.
+
+    Only what lies between the breaks ``places`` next to the join is encoded anew; where the
+    ids of either side don't agree with that, the next break further out is taken.
+    """
+    start, end = span
+    after = int(np.searchsorted(places, start))
+    if not start or start == end or (after < len(places) and places[after] == start):
+        runs.append(ids)
+        return
+    before = after - 1
     while True:
-        found = [x for x in (raw.find(b" ", start), raw.find(b"\n", start)) if x >= 0]
-        if not found:
-            return len(raw)
-        at = min(found)
-        if at > 0 and 0x21 <= raw[at - 1] <= 0x7E:
-            return at
-        start = at + 1
+        p = int(places[before]) if before >= 0 else 0
+        q = int(places[after]) if after < len(places) and places[after] < end else end
+        tail, head = code(raw[p:start]), code(raw[start:q])
+        had = take_last(runs, len(tail))
+        fits_left, fits_right = np.array_equal(had, tail), np.array_equal(ids[: len(head)], head)
+        if fits_left and fits_right:
+            runs += [code(raw[p:q]), ids[len(head) :]]
+            return
+        if p == 0 and q == end:
+            runs[:] = [code(raw[:end])]
+            return
+        runs.append(had)
+        before -= not fits_left
+        after += not fits_right
 
 
 def join(
     left: bytes, a: np.ndarray, right: bytes, b: np.ndarray, code: Callable[[bytes], np.ndarray]
 ) -> np.ndarray:
     """Tokens of ``left + right`` from the tokens of both, encoding anew only around the join."""
-    if not left or not right:
-        return np.concatenate([a, b])
-    if 0x21 <= left[-1] <= 0x7E and right[0] in b" \n":
-        return np.concatenate([a, b])
-    p, q = breaks_before(left, len(left)), breaks_after(right, 1)
-    while True:
-        tail, head = code(left[p:]), code(right[:q])
-        fits_left = len(tail) <= len(a) and np.array_equal(a[len(a) - len(tail) :], tail)
-        fits_right = len(head) <= len(b) and np.array_equal(b[: len(head)], head)
-        if fits_left and fits_right:
-            middle = code(left[p:] + right[:q])
-            return np.concatenate([a[: len(a) - len(tail)], middle, b[len(head) :]])
-        if p == 0 and q == len(right):
-            return code(left + right)
-        p = p if fits_left else breaks_before(left, p)
-        q = q if fits_right else breaks_after(right, q + 1)
+    raw, runs = left + right, [a]
+    add_piece(runs, raw, breaks(raw), (len(left), len(raw)), b, code)
+    return np.concatenate(runs)
 
 
-def assemble(raw: bytes, shared: dict[int, np.ndarray], code: Callable[[bytes], np.ndarray]) -> np.ndarray:
-    """Tokens of a text, given those of some of its chunks by their place."""
+def pieces_of(
+    raw: bytes, places: np.ndarray, shared: dict[int, np.ndarray]
+) -> list[tuple[int, int, np.ndarray | None]]:
+    """(start, end, ids) of the pieces that a text is put together from, ids None where not given.
+
+    Neighbours without ids are one piece. So are neighbours that hold no break, even if they
+    have ids: every join between them would encode all of them anew.
+    """
     ends = cut(raw) if shared else [len(raw)]
+    inside = np.searchsorted(places, ends) - np.searchsorted(places, [0, *ends[:-1]], side="right")
     pieces: list[tuple[int, int, np.ndarray | None]] = []
-    start = 0
-    for i, end in enumerate(ends):
+    start, closed = 0, False
+    for i, (end, held) in enumerate(zip(ends, inside.tolist())):
         ids = shared.get(i)
-        if ids is None and pieces and pieces[-1][2] is None:
+        if pieces and ((closed and not held) or (ids is None and pieces[-1][2] is None)):
             pieces[-1] = (pieces[-1][0], end, None)
+            closed = closed and not held
         else:
             pieces.append((start, end, ids))
+            closed = not held
         start = end
-    done, out = 0, np.zeros(0, np.uint32)
-    for start, end, ids in pieces:
-        own = code(raw[start:end]) if ids is None else ids
-        out, done = (join(raw[:done], out, raw[start:end], own, code) if done else own), end
-    return out
+    return pieces
+
+
+def assemble(raw: bytes, shared: dict[int, np.ndarray], code: Callable[[bytes], np.ndarray]) -> np.ndarray:
+    """Tokens of a text, given those of some of its chunks by their place.
+
+    Takes time linear in the text: each join touches its two neighbours only.
+    """
+    places, runs = breaks(raw), []
+    for start, end, ids in pieces_of(raw, places, shared):
+        add_piece(runs, raw, places, (start, end), code(raw[start:end]) if ids is None else ids, code)
+    return np.concatenate(runs) if runs else np.zeros(0, np.uint32)
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:

@@ -119,6 +119,37 @@ def test_encoding_with_shared_chunks(spark, tmp_path):
     assert sum(r.n_shared for r in got) > 20
 
 
+def counted(code):
+    """``code`` and the bytes it has encoded so far."""
+    seen = [0]
+
+    def run(raw):
+        seen[0] += len(raw)
+        return code(raw)
+
+    return run, seen
+
+
+@pytest.mark.parametrize("kind", ["words", "漢字仮名交じり文é", "x\n\n", "a  b\t", "ab12"])
+def test_long_texts_are_put_together_in_linear_time(kind):
+    rng = random.Random(8)
+    library, coder = Tokenizer.from_file(BYTES), chunk_bpe.encoding(BYTES)
+    plain = lambda raw: chunk_bpe.encode(coder, raw)
+    if kind == "words":
+        known = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(3000)]
+        text = " ".join(rng.choices(known, k=400_000))
+    else:
+        text = "".join(rng.choices(kind, k=100_000))
+    raw = text.encode()
+    ends = chunk_bpe.cut(raw)
+    for share in (0.5, 1.0):
+        given = {i: plain(raw[a:b]) for i, (a, b) in enumerate(zip([0, *ends], ends)) if rng.random() < share}
+        code, seen = counted(plain)
+        got = chunk_bpe.assemble(raw, given, code)
+        assert got.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert seen[0] <= 4 * len(raw)
+
+
 def test_empty_tables(spark, tmp_path):
     empty = table(spark, []).limit(0)
     assert chunk_bpe.encode_documents(empty, BYTES, str(tmp_path)).count() == 0
