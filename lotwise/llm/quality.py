@@ -2,20 +2,26 @@
 
 Every token has a fixed sparse random index vector. The vector of a token is the sum of the
 index vectors of its neighbours over the whole corpus, so tokens of like surroundings get
-like vectors. Tokens are hashed to a fixed number of rows, which bounds the table whatever
-the corpus. There are two streams: words, and shapes of words (``Word!!`` is ``Aa!``). A
+like vectors. Tokens are hashed to ``rows`` rows, a parameter: the table is broadcast and has
+``rows`` + ``SHAPE_ROWS`` vectors of ``DIMS`` 32-bit numbers whatever the corpus, 19 MB by default.
+Words that share a row share a vector; a caller with a larger vocabulary asks for more rows.
+There are two streams: words, and shapes of words (``Word!!`` is ``Aa!``). A
 document is the mean of its vectors in both streams and four plain statistics. A network of
 two layers in numpy, trained on a bounded sample of labelled rows, scores it; a temperature
 fitted on rows held back from training makes the scores probabilities.
 
 Null text counts as empty; it is scored like any other. Labels, language, source and
 doc_id are no inputs. Rows with a null label are not learnt from. Repeated rows each get a
-score, equal texts the same.
+score, equal texts the same. Other columns of the tables are not read. A text is read whole by
+one task, which holds the numbers of its words and of about ``SLICE`` bytes of others.
+An empty table of documents gives no scores; without labels all texts score alike.
 """
 
 from __future__ import annotations
 
 import functools
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,8 +35,9 @@ from pyspark.sql import functions as F
 
 from lotwise.llm.common import map_batches, mixed, ship, slices, table, texts
 
-#: Rows of the table of vectors for each stream, and entries of a vector.
-ROWS = 8192
+#: Rows of the table of vectors for words and for shapes, and entries of a vector.
+ROWS = 1 << 16
+SHAPE_ROWS = 1 << 13
 DIMS = 64
 WINDOW = 2
 NONZERO = 2
@@ -42,58 +49,67 @@ EPOCHS = 40
 THRESHOLD = 0.7
 #: Bytes of text whose words are in memory as numbers at a time.
 SLICE = 1_000_000
-#: A neighbour that repeats the token itself counts as this row, one past both streams.
-SAME = 2 * ROWS
 
 
 @functools.cache
-def index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the non-zero entries of every row's index vector."""
+def index_vectors(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and signs of the non-zero entries of the index vectors of ``size`` rows.
+
+    One row follows, for neighbours that repeat the token itself.
+    """
     rng = np.random.default_rng(7)
-    places = rng.integers(0, DIMS, (2 * ROWS + 1, NONZERO))
-    return places, rng.choice([-1.0, 1.0], (2 * ROWS + 1, NONZERO))
+    places = rng.integers(0, DIMS, (size + 1, NONZERO))
+    return places, rng.choice([-1.0, 1.0], (size + 1, NONZERO))
 
 
-def _classes() -> np.ndarray:
-    """For each byte the letter that stands for it in a shape."""
-    out = np.arange(256, dtype=np.uint8)
-    out[ord("A") : ord("Z") + 1], out[ord("a") : ord("z") + 1] = ord("A"), ord("a")
-    out[ord("0") : ord("9") + 1], out[128:] = ord("0"), ord("a")
-    return out
+@functools.cache
+def classes() -> np.ndarray:
+    """For each code point the one that stands for it in a shape."""
+    letters = {"Lu": "A", "Lt": "A"} | dict.fromkeys(["Ll", "Lm", "Lo", "Mn", "Mc", "Me"], "a")
+    letters |= dict.fromkeys(["Nd", "Nl", "No"], "0")
+    points = range(sys.maxunicode + 1)
+    return np.array([ord(letters.get(unicodedata.category(chr(x)), chr(x))) for x in points], np.uint32)
 
 
-CLASSES = _classes()
+def sequence_hashes(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash for each of the sequences of these sizes that ``values`` holds in a row, none empty."""
+    begins = np.cumsum(sizes) - sizes
+    place = (np.arange(len(values)) - np.repeat(begins, sizes)).astype(np.uint64) + np.uint64(1)
+    with np.errstate(over="ignore"):
+        spread = mixed(values.astype(np.uint64) + place * np.uint64(0x9E3779B97F4A7C15))
+    return mixed(np.add.reduceat(spread, begins))
 
 
-def shapes(words: pa.LargeStringArray) -> np.ndarray:
-    """The first eight letters of each word's shape, as one number.
+def shapes(points: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of the shape of each word, from the code points of all words in a row.
 
     A shape has one letter for each run of capitals, of other letters, of digits, or of one
     and the same sign.
     """
-    raw = [x.encode() for x in words.to_pylist()]
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    kinds = classes()[points]
     begins = np.cumsum(sizes) - sizes
-    kinds = CLASSES[np.frombuffer(b"".join(raw), np.uint8)]
-    own = np.repeat(np.arange(len(raw)), sizes)
     starts = np.ones(len(kinds), bool)
-    starts[1:] = (kinds[1:] != kinds[:-1]) | (own[1:] != own[:-1])
-    before = np.cumsum(starts)
-    place = before - 1 - (before[begins] - 1)[own] if len(kinds) else before
-    keep = starts & (place < 8)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[own[keep], place[keep]] = kinds[keep]
-    return out.view(np.uint64).ravel()
+    starts[1:] = kinds[1:] != kinds[:-1]
+    starts[begins] = True
+    first = (np.cumsum(starts) - 1)[begins]
+    runs = kinds[starts]
+    return sequence_hashes(runs, np.diff([*first, len(runs)]))
 
 
-def rows_of(words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def rows_of(words: pa.LargeStringArray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row of each word, row of its shape, and its length. Words are distinct, not empty."""
-    word = np.array([xxhash.xxh32_intdigest(w) for w in words.to_pylist()], np.int64) % ROWS
-    form = ROWS + (mixed(shapes(words)) % np.uint64(ROWS)).astype(np.int64)
-    return word, form, pc.utf8_length(words).to_numpy().astype(np.int64)
-
-
-def streams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    if not len(words):
+        return (np.zeros(0, np.int64),) * 3
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    raw = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    points = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    size = pc.utf8_length(words).to_numpy().astype(np.int64)
+    word = sequence_hashes(raw, np.diff(ends)) % np.uint64(rows)
+    form = shapes(points, size) % np.uint64(SHAPE_ROWS)
+    return word.astype(np.int64), rows + form.astype(np.int64), size
+
+
+def streams(column: pa.Array, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rows of all words and of all shapes, their documents, their codes and lengths."""
     lists = pc.ascii_split_whitespace(column.cast(pa.large_string()))
     parts = lists.flatten()
@@ -101,40 +117,45 @@ def streams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     real = pc.not_equal(parts, "")
     coded, doc = parts.filter(real).dictionary_encode(), doc[real.to_numpy(zero_copy_only=False)]
     codes = coded.indices.to_numpy()
-    word, form, size = rows_of(coded.dictionary)
+    word, form, size = rows_of(coded.dictionary, rows)
     return word[codes], form[codes], doc, codes, size[codes]
 
 
-def cooccurrence(column: pa.Array) -> np.ndarray:
+def cooccurrence(column: pa.Array, rows: int = ROWS) -> np.ndarray:
     """Sums of the neighbours' index vectors for every row, as a flat array."""
-    places, signs = index_vectors()
-    words, forms, doc, _, _ = streams(column)
+    same_row = rows + SHAPE_ROWS
+    places, signs = index_vectors(same_row)
+    words, forms, doc, _, _ = streams(column, rows)
     keys, weights = [], []
     for ids in (words, forms):
         for step in range(1, WINDOW + 1):
             a, b, inside = ids[:-step], ids[step:], doc[:-step] == doc[step:]
             a, b = a[inside], b[inside]
             same = a == b
-            for own, near in ((a, np.where(same, SAME, b)), (b, np.where(same, SAME, a))):
+            for own, near in ((a, np.where(same, same_row, b)), (b, np.where(same, same_row, a))):
                 for k in range(NONZERO):
                     keys.append(own * DIMS + places[near, k])
                     weights.append(signs[near, k])
-    size = 2 * ROWS * DIMS
+    size = same_row * DIMS
     return np.bincount(np.concatenate(keys), np.concatenate(weights), size).astype(np.int64)
 
 
-def word_vectors(docs: DataFrame) -> np.ndarray:
-    """The table of vectors, from all texts of ``docs``.
+def word_vectors(docs: DataFrame, rows: int = ROWS) -> np.ndarray:
+    """The table of vectors, from all texts of ``docs``; ``rows`` is a multiple of ``BLOCKS``.
 
     Tasks send their sums in blocks of rows; blocks are summed in two steps, one block at a
     time in a task. What comes back to the driver has the fixed size of the table.
     """
 
+    if rows < 1 or rows % BLOCKS:
+        raise ValueError(f"rows has to be a multiple of {BLOCKS}")
+    size = rows + SHAPE_ROWS
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * ROWS * DIMS, np.int64)
+        total = np.zeros(size * DIMS, np.int64)
         for batch in batches:
             for piece in slices(batch, limit=SLICE):
-                total += cooccurrence(piece.column("text"))
+                total += cooccurrence(piece.column("text"), rows)
         yield _block_rows(list(enumerate(total.reshape(BLOCKS, -1))))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,14 +170,12 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     parts = map_batches(texts(docs).select("text"), count, schema)
     parts = parts.withColumn("salt", F.spark_partition_id() % 16).repartition("block", "salt")
     parts = map_batches(parts.select("block", "sums"), add, schema).repartition("block")
-    rows = map_batches(parts, add, schema).collect()
-    flat = np.zeros((BLOCKS, 2 * ROWS * DIMS // BLOCKS))
-    for row in rows:
+    flat = np.zeros((BLOCKS, size * DIMS // BLOCKS))
+    for row in map_batches(parts, add, schema).collect():
         flat[row["block"]] = np.frombuffer(zstandard.decompress(row["sums"]), np.int64)
-    vectors = flat.reshape(2 * ROWS, DIMS)
-    size = np.linalg.norm(vectors, axis=1, keepdims=True)
-    vectors = vectors / np.maximum(size, 1)
-    for stream in (vectors[:ROWS], vectors[ROWS:]):
+    vectors = flat.reshape(size, DIMS)
+    vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1)
+    for stream in (vectors[:rows], vectors[rows:]):
         used = np.abs(stream).sum(axis=1) > 0
         if used.any():
             stream[used] -= stream[used].mean(axis=0)
@@ -172,7 +191,7 @@ def _block_rows(items: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
 
 def features(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """One row of inputs for each text."""
-    words, forms, doc, codes, sizes = streams(column)
+    words, forms, doc, codes, sizes = streams(column, len(vectors) - SHAPE_ROWS)
     n = len(column)
     counts = np.bincount(doc, minlength=n).astype(np.float64)
     out = np.zeros((n, 2 * DIMS + 4), np.float32)
@@ -276,25 +295,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     return found.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", F.xxhash64("text")).limit(rows)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS):
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, rows: int = ROWS):
     """Learn from ``docs`` and ``labels``; returns a function from a text column to its score."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(word_vectors(docs))
+    shared = spark.sparkContext.broadcast(word_vectors(docs, rows))
 
     def inputs(column: pa.Array) -> pa.Array:
         return pa.array([row.tobytes() for row in _features_of(column, shared.value)], pa.binary())
 
     as_inputs = F.arrow_udf(inputs, "binary")
-    rows = (
+    known = (
         labelled_sample(docs, labels, train_rows)
         .select("doc_id", "quality", as_inputs("text").alias("x"))
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("quality", "ascending"), ("x", "ascending")])
     )
-    order = np.argsort([xxhash.xxh32_intdigest(str(i)) for i in rows["doc_id"].to_pylist()], kind="stable")
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(-1, 2 * DIMS + 4)
-    net = train(x[order].astype(np.float64), rows["quality"].to_numpy().astype(np.float64)[order])
+    order = np.argsort([xxhash.xxh32_intdigest(str(i)) for i in known["doc_id"].to_pylist()], kind="stable")
+    x = np.frombuffer(b"".join(known["x"].to_pylist()), np.float32).reshape(-1, 2 * DIMS + 4)
+    net = train(x[order].astype(np.float64), known["quality"].to_numpy().astype(np.float64)[order])
 
     def scores(column: pa.Array) -> pa.Array:
         return pa.array(net.score(_features_of(column, shared.value)), pa.float64())

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,6 +242,109 @@ def test_scores_of_odd_rows(spark):
     assert quality.fit(docs.limit(0), labels.limit(0))
 
 
+def plain_shape(word):
+    """Letter classes of a word by the character database, runs as one letter."""
+    kinds = []
+    for c in word:
+        kind = unicodedata.category(c)
+        kinds.append("A" if kind in ("Lu", "Lt") else "a" if kind[0] in "LM" else "0" if kind[0] == "N" else c)
+    return "".join(k for k, _ in itertools.groupby(kinds))
+
+
+def test_shapes_are_whole_and_by_code_point():
+    words = "Word!! word É Ж ١٢ ab1ab1ab1ab1 ab1ab1ab1ab2 ab1ab1ab1ab! ß漢字 Ǆa É́b ... ..! a.b.c.d.e.f.g A".split()
+    _, forms, sizes = quality.rows_of(pa.array(words, pa.large_string()), 64)
+    by_shape = {}
+    for word, form in zip(words, forms.tolist()):
+        by_shape.setdefault(plain_shape(word), set()).add(form)
+    assert all(len(x) == 1 for x in by_shape.values())
+    assert len(set.union(*by_shape.values())) == len(by_shape) < len(words)
+    assert sizes.tolist() == [len(w) for w in words]
+    sliced = quality.rows_of(pa.array(words, pa.large_string()).slice(3, 5), 64)
+    assert sliced[1].tolist() == forms[3:8].tolist()
+
+
+def plain_vectors(texts, rows):
+    """Sums of the index vectors of neighbours, token by token."""
+    size = rows + quality.SHAPE_ROWS
+    places, signs = quality.index_vectors(size)
+    out = np.zeros((size, quality.DIMS))
+    for text in texts:
+        words = (text or "").split()
+        found = [quality.rows_of(pa.array([w], pa.large_string()), rows) for w in words]
+        for stream in (0, 1):
+            ids = [int(f[stream][0]) for f in found]
+            for i, own in enumerate(ids):
+                for j in range(max(0, i - quality.WINDOW), min(len(ids), i + quality.WINDOW + 1)):
+                    if i != j:
+                        near = size if ids[j] == own else ids[j]
+                        np.add.at(out[own], places[near], signs[near])
+    return out
+
+
+def test_vectors_and_features_by_hand(spark):
+    rng = random.Random(12)
+    vocabulary = ["the", "The", "é9", "漢字", "a!", "buy", "BUY!!", "x" * 40, "it's"]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 12))) for _ in range(40)]
+    texts += ["", None, "one", " \t ", "same same same"]
+    rows = 32
+    want = plain_vectors(texts, rows)
+    got = sum(quality.cooccurrence(pa.array([t or ""]), rows) for t in texts)
+    assert np.array_equal(got.reshape(want.shape), want)
+    assert np.array_equal(quality.cooccurrence(pa.array([t or "" for t in texts]), rows).reshape(want.shape), want)
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, block int")
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1)
+    for part in (want[:rows], want[rows:]):
+        used = np.abs(part).sum(axis=1) > 0
+        part[used] -= part[used].mean(axis=0)
+    table = quality.word_vectors(docs.repartition(3), rows)
+    assert np.allclose(table, want, atol=1e-6)
+    made = quality.features(pa.array([t or "" for t in texts]), table)
+    d = quality.DIMS
+    for text, x in zip(texts, made):
+        words = (text or "").split()
+        if not words:
+            assert not x.any()
+            continue
+        word, form, size = quality.rows_of(pa.array(words, pa.large_string()), rows)
+        assert np.allclose(x[:d], table[word].mean(axis=0), atol=1e-5)
+        assert np.allclose(x[d : 2 * d], table[form].mean(axis=0), atol=1e-5)
+        again = sum(a == b for a, b in zip(words, words[1:]))
+        plain = [np.log1p(len(words)), len(set(words)) / len(words), again / len(words), np.mean(size)]
+        assert np.allclose(x[2 * d :], plain, atol=1e-5)
+    with pytest.raises(ValueError):
+        quality.word_vectors(docs, 33)
+
+
+def test_temperature_is_the_best_of_its_grid():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 6))
+    y = (x[:, 0] + rng.normal(size=400) > 0).astype(float)
+    net = quality.train(x, y)
+    kept = np.arange(len(x)) % 5 == 4
+    raw, truth = net.logits(x[kept]), y[kept]
+
+    def loss(t):
+        p = 1 / (1 + np.exp(-raw / t))
+        return -np.mean(truth * np.log(p) + (1 - truth) * np.log(1 - p))
+
+    grid = np.exp(np.linspace(-1.5, 2.5, 81))
+    assert loss(net.temperature) <= min(loss(t) for t in grid) + 1e-9
+    assert np.allclose(net.score(x), 1 / (1 + np.exp(-net.logits(x) / net.temperature)))
+
+
+def test_scores_of_empty_and_very_long_texts(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    score = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), rows=1024)
+    assert docs.limit(0).select(score("text")).count() == 0
+    body = " ".join(r.text or "" for r in docs.select("text").limit(60).collect())
+    long = body * (1 + 5_000_000 // len(body))
+    rows = spark.createDataFrame([(1, long), (2, long), (3, "x" * 3_000_000), (4, "")], "doc_id long, text string")
+    got = {r.doc_id: r.v for r in rows.select("doc_id", score("text").alias("v")).collect()}
+    assert got[1] == got[2] and all(0 <= v <= 1 for v in got.values()) and len(got) == 4
+
+
 def test_passages_off_the_grid_are_found(spark):
     rng = random.Random(31)
     item = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(70))
