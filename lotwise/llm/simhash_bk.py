@@ -205,6 +205,8 @@ def near_groups(docs: DataFrame, folder: str | None = None, words: int = SHINGLE
     known = groups.join(linked, "fp", "left").select(
         "fp", F.coalesce("joint", "least").alias("component_id")
     )
+    # Stored ahead of the join, which can then split the rows of a fingerprint of many texts.
+    known = stored(known, "groups-of-fingerprints", folder)
     return rows.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
