@@ -47,7 +47,9 @@ def line_rows(docs: DataFrame) -> DataFrame:
 
 def wide_lines(lines: DataFrame, min_sites: int, folder: str | None) -> DataFrame:
     """(h1, h2) of the lines that stand on at least ``min_sites`` distinct sites."""
+    # Stored ahead of the join, so that the join can split or broadcast what lines are few.
     often = lines.groupBy("h1", "h2").agg(F.count("site").alias("n")).where(F.col("n") >= min_sites)
+    often = stored(often.select("h1", "h2"), "often-lines", folder)
     open_lines = lines.join(often, ["h1", "h2"]).where("site IS NOT NULL")
     sketch = F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_LOG_SIZE)).alias("sites")
     judged = stored(open_lines.groupBy("h1", "h2").agg(sketch), "line-sketches", folder)
@@ -65,6 +67,7 @@ def removed_lines(docs: DataFrame, min_sites: int = MIN_SITES, folder: str | Non
     found = lines.join(stored(wide_lines(lines, min_sites, folder), "wide-lines", folder), ["h1", "h2"])
     found = stored(found.select("doc_id", "th", "pos", "h1", "h2"), "wide-places", folder)
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "th", "pos")).alias("first"))
+    first = stored(first, "first-places", folder)
     here = F.struct("doc_id", "th", "pos")
     others = found.join(first, ["h1", "h2"]).where(~here.eqNullSafe(F.col("first")))
     return others.groupBy("doc_id", "th").agg(F.collect_set("pos").alias("places"))
