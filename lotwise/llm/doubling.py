@@ -132,7 +132,9 @@ def repeated_windows(docs: DataFrame, whole: DataFrame, n: int, folder: str | No
     levels = Levels(n)
     seeds = stored(seed_rows(docs, levels), "seeds", folder)
     # Level one: seeds that occur again.
+    # Stored ahead of the join, which can then split the rows of a hot seed.
     again = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed")
+    again = stored(again, "seeds-again", folder)
     open_seeds = stored(seeds.join(again, "seed"), "open-seeds", folder)
     # Seeds whose words are those of another: all their windows are repeated.
     same = open_seeds.groupBy("seed", "whole").agg(
@@ -196,6 +198,7 @@ def repeated_windows(docs: DataFrame, whole: DataFrame, n: int, folder: str | No
 
     spelt = stored(map_batches(rows, spell, "h1 long, h2 long, key long, th long, start int"), "windows", folder)
     twice = spelt.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    twice = stored(twice, "windows-again", folder)
     single = spelt.join(twice, ["h1", "h2"]).groupBy("key", "th").agg(F.collect_set("start").alias("starts"))
     return settled.join(single, ["key", "th"], "full")
 
