@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.schema import CLEANED_COLUMNS, require_columns
-from lotwise.sources.inventory import input_inventory
+from lotwise.sources.inventory import input_inventory, input_totals
 from lotwise.sources.listings_csv import BAD_ROW, read_flagged_csv, read_listings_csv, split_bad_rows
 from lotwise.sources.sinks import write_table
+from tests.compare import first_difference, spark_table, sql_table
+from workload import all_oracles, all_queries
+from workload.tables import TABLES
 
 TRICKY = 'id,text,n\n1,"a ""q"" b",x\n2,"two\nlines, and\n\n""more""",y\n3,short\n4,a,b,c\n5,,\n'
 
@@ -85,3 +88,24 @@ def test_inventory(spark, sf_dir, tmp_path):
     sizes = {f.name: f.stat().st_size for f in (tmp_path / "o").glob("part-*")}
     assert sum(r.n_rows for r in rows) == df.count()
     assert {r.file_name: round(r.size_mb * 1024 * 1024) for r in rows} == sizes
+
+
+def test_inventory_of_tables_in_many_files(spark, sf_dir, tmp_path):
+    # One table as a file, one as a folder of files of which one is empty.
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders.repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    orders.limit(0).coalesce(1).write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    part = f"{sf_dir}/part.parquet"
+    got = {r.input: r for r in input_totals(spark, [str(tmp_path / "orders.parquet"), part]).collect()}
+    folder = got[str(tmp_path / "orders.parquet")]
+    sizes = [f.stat().st_size for f in (tmp_path / "orders.parquet").glob("part-*")]
+    assert (folder.n_files, folder.n_rows, round(folder.size_mb * 1024 * 1024)) == (4, orders.count(), sum(sizes))
+    assert (got[part].n_files, got[part].n_rows) == (1, spark.read.parquet(part).count())
+
+
+def test_inventory_query_has_a_row_per_table(spark, duck, sf_dir, tmp_path):
+    for name in TABLES:
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(2).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = spark_table(all_queries()["input_inventory"](spark, str(tmp_path)))
+    want = sql_table(duck, all_oracles()["input_inventory"])
+    assert got == want, first_difference(got, want)
